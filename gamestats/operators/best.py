@@ -60,17 +60,20 @@ def best_names(df: DataFrame, key: str, rating: str, name: str) -> DataFrame:
     """J5 + A7: per group, the names of the items whose rating equals the
     group's maximum (all of them when tied), with the maximum and the mean.
 
-    The maximum is found first (partial aggregation), then only the rows that
-    hit it are picked by an equi-join on ``(key, rating)``.  That join spreads a
-    hot group over the shuffle by rating, and only the winning rows are merged
-    per group; no task sorts or holds a whole group.  The maxima table is one
-    row per group; AQE broadcasts it only when its measured size is under the
-    broadcast threshold and keeps the shuffle join otherwise.
+    The maximum and mean are found first (one partial + final aggregation),
+    then only the rows that hit the maximum are picked by an equi-join on
+    ``(key, rating)``.  That join spreads a hot group over the shuffle by
+    rating, and only the winning rows are merged per group; no task sorts or
+    holds a whole group.  The merge groups by the summary side's columns, whose
+    partitioning already satisfies it, so it adds no shuffle.  The summary is
+    one row per group; AQE broadcasts it only when its measured size is under
+    the broadcast threshold and keeps the shuffle join otherwise.
     """
-    summary = summarise_group(df, key, rating)
-    winners = df.join(
-        summary.select(F.col(key), F.col("max_rating").alias(rating)),
-        on=[key, rating], how="inner")
-    names = winners.groupBy(key).agg(merged(name).alias("best_names"))
-    return names.join(summary, on=key, how="inner").select(
-        key, "best_names", "max_rating", "avg_rating")
+    summary = summarise_group(df, key, rating).withColumnRenamed(key, "_group")
+    detail = df.select(F.col(key).alias("_item_group"), F.col(rating).alias("_rating"),
+                       F.col(name).alias("_name"))
+    winners = detail.join(summary, on=(F.col("_item_group") == F.col("_group"))
+                          & (F.col("_rating") == F.col("max_rating")), how="inner")
+    return (winners.groupBy("_group", "max_rating", "avg_rating")
+            .agg(merged("_name").alias("best_names"))
+            .select(F.col("_group").alias(key), "best_names", "max_rating", "avg_rating"))

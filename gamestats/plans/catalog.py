@@ -159,16 +159,16 @@ def game_stats_grouping_sets(g: DataFrame) -> DataFrame:                 # Q17
 
 # --- rated items per group --------------------------------------------------
 
-def series_avg_max(r: DataFrame) -> DataFrame:                           # Q18
-    return summarise_group(rated_items(r, RATED_TYPE), "series", "rating")
+def series_avg_max(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:      # Q18
+    return summarise_group(rated_items(r, item_type), "series", "rating")
 
 
-def series_all_names(r: DataFrame) -> DataFrame:                         # Q19
-    return all_names(rated_items(r, RATED_TYPE), "series", "rating", "episode")
+def series_all_names(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:    # Q19
+    return all_names(rated_items(r, item_type), "series", "rating", "episode")
 
 
-def series_best_names(r: DataFrame) -> DataFrame:                        # Q20
-    return best_names(rated_items(r, RATED_TYPE), "series", "rating", "episode")
+def series_best_names(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:   # Q20
+    return best_names(rated_items(r, item_type), "series", "rating", "episode")
 
 
 GAME_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
