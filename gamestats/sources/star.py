@@ -65,8 +65,12 @@ def _result(status: Column) -> Column:
 
 
 def _per_order_measures(lineitem: DataFrame, moves_mode: str) -> DataFrame:
-    frag = move_fragment()
+    # The fragment is projected once; it is referenced by every measure, so
+    # Catalyst keeps the projection instead of inlining the string build into
+    # each aggregate input.
+    frag = F.col("_frag")
     return (lineitem
+            .select("l_orderkey", "l_suppkey", move_fragment().alias("_frag"))
             .groupBy(F.col("l_orderkey"))
             .agg(F.min("l_suppkey").alias("black_key"),
                  F.sum(M.moves(frag, moves_mode)).alias("moves"),
