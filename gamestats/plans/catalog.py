@@ -154,7 +154,10 @@ def game_stats_grouping_sets(g: DataFrame) -> DataFrame:                 # Q17
     reference's combined draft), per length and per opening#event, from one
     scan: one Expand, one partial and one final aggregation."""
     g = g.withColumn("elo_band", F.col("elo_band_mean"))
-    return multi_keyed(g, GROUPING_SETS, game_stats_aggregates())
+    out = multi_keyed(g, GROUPING_SETS, game_stats_aggregates())
+    # Key columns are labels here (NULL where a set does not group by them);
+    # the length is given as text so every key column has one type.
+    return out.withColumn("moves", F.col("moves").cast("string"))
 
 
 # --- rated items per group --------------------------------------------------

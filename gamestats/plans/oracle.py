@@ -131,8 +131,9 @@ def _grouping_sets_sql() -> str:
         label += f" WHEN {code} THEN '{name}'"
     label += " END"
     sets = ", ".join("(" + ", ".join(m) + ")" for m in GROUPING_SETS.values())
+    key_cols = [f"CAST({k} AS VARCHAR) AS {k}" if k == "moves" else k for k in keys]
     return _games(f"""
-SELECT {label} AS grouping_set, {', '.join(keys)},
+SELECT {label} AS grouping_set, {', '.join(key_cols)},
        count(*) AS games,
        {_mean('moves')} AS avg_moves, {_mean('captures')} AS avg_captures,
        {_mean('checks')} AS avg_checks, {_mean('castled')} AS castling_share,

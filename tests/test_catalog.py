@@ -110,7 +110,7 @@ def test_grouping_sets_slices_equal_single_key_queries(star_small):
     assert ev.exceptAll(C.avg_captures_by_event(star_small)).count() == 0
     ev = gs.where("grouping_set = 'event'").select("event", F.col("avg_checks"))
     assert ev.exceptAll(C.avg_checks_by_event(star_small)).count() == 0
-    mv = gs.where("grouping_set = 'moves'").select("moves", "avg_checks")
+    mv = gs.where("grouping_set = 'moves'").select(F.col("moves").cast("long"), "avg_checks")
     assert mv.exceptAll(C.avg_checks_by_moves(star_small)).count() == 0
     oe = gs.where("grouping_set = 'opening_event'").select(
         F.concat_ws("#", "opening", "event").alias("opening_event"), "draw_share")
@@ -160,3 +160,28 @@ def test_oracle_sf001(spark, duck_oracle, name):
     problems, _ = compare(spark, duck_oracle, name, C.star_queries()[name],
                           oracle_sql()[name], SF_ORACLE)
     assert not problems, problems
+
+
+def test_result_filter_counts_match_share(star_small):
+    """white wins per opening#event over all games per opening#event is
+    the white-win share."""
+    from gamestats.operators.filters import with_result
+
+    wins = with_result(star_small, "1-0").groupBy("opening", "event").count()
+    total = star_small.groupBy("opening", "event").agg(F.count("*").alias("n"))
+    ratio = (total.join(wins, ["opening", "event"], "left")
+             .select(F.concat_ws("#", "opening", "event").alias("opening_event"),
+                     (F.coalesce(F.col("count"), F.lit(0)) / F.col("n")).alias("r")))
+    share = C.white_win_share_by_opening_event(star_small)
+    got = {r["opening_event"]: r["r"] for r in ratio.collect()}
+    want = {r["opening_event"]: r["white_win_share"] for r in share.collect()}
+    assert got == pytest.approx(want)
+
+
+def test_sort_by_key_descending(star_small):
+    from gamestats.operators.ranking import sort_by_key
+
+    rows = sort_by_key(C.draw_share_by_opening_event(star_small), "opening_event",
+                       descending=True).collect()
+    keys = [r["opening_event"] for r in rows]
+    assert keys == sorted(keys, reverse=True)
