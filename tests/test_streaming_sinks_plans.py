@@ -87,3 +87,27 @@ def test_rating_filter_pushed_to_scan(spark):
     df = C.series_avg_max(ratings_from_events(spark, SF_SMALL))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(event_id), EqualTo(event_type,purchase)" in plan
+
+
+def test_top_k_written_and_shown(spark, tmp_path, star_small, capsys):
+    """K4 / K5 / K6: show the top-K on the console, then save it."""
+    from gamestats.sinks import show_rows
+
+    top = C.castling_pct_by_elo_top10(star_small)
+    show_rows(top, 10)
+    show_rows(top, 10, truncate=False)
+    out = capsys.readouterr().out
+    assert "castling_pct" in out and "elo_band" in out
+    write_parts(top, str(tmp_path / "top10"), fmt="csv")
+    back = spark.read.option("header", True).csv(str(tmp_path / "top10"))
+    assert back.count() == top.count() == 10
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as E
+
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert df.columns == E.entry(spark).columns
+    assert set(E.queries()) == set(E.oracle_sql())
