@@ -132,6 +132,22 @@ def games_from_star(spark: SparkSession, sf_dir: str, moves_mode: str = "dots",
     return finish_games(g.select(*[c.alias(n) for n, c in cols.items()]))
 
 
+def games_table(spark: SparkSession, sf_dir: str, moves_mode: str = "dots") -> DataFrame:
+    """The measured-games view written once (see ``gamestats.sources.derived``)
+    and read back: what the catalogue queries read."""
+    import sys
+
+    from gamestats.functions import bands, measures
+    from gamestats.operators import measured
+    from gamestats.sources.derived import definition_fingerprint, derived_table
+
+    d = sf_dir.rstrip("/")
+    definition = definition_fingerprint(sys.modules[__name__], measures, bands, measured)
+    return derived_table(spark, f"games-{moves_mode}",
+                         [f"{d}/orders.parquet", f"{d}/lineitem.parquet"],
+                         lambda: games_from_star(spark, d, moves_mode), definition)
+
+
 def ratings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings view over ``events``: series = user, episode = event id,
     rating = value, type = event type."""
