@@ -58,8 +58,9 @@ def definition_fingerprint(*modules: ModuleType) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:20]
 
 
-# Published tables never change, so their readers are reused within a session.
-_readers: dict[tuple[int, str], DataFrame] = {}
+# Published tables never change, so a session reuses its reader of a table
+# (the file listing and schema are read once) while the table is still there.
+_readers: dict[str, DataFrame] = {}
 
 
 def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
@@ -70,11 +71,12 @@ def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
     digest = hashlib.sha256(key.encode()).hexdigest()[:20]
     root = ensure_checkpoint_dir(spark).rstrip("/")
     location = f"{root}/{TABLES_FOLDER}/{name}-{digest}"
-    cached = _readers.get((id(spark), location))
-    if cached is not None:
-        return cached
     loc_path, fs = _hadoop_path(spark, location)
-    if not fs.exists(loc_path.suffix("/_SUCCESS")):
+    published = fs.exists(loc_path.suffix("/_SUCCESS"))
+    cached = _readers.get(location)
+    if published and cached is not None and cached.sparkSession is spark:
+        return cached
+    if not published:
         staging = f"{location}.staging-{uuid.uuid4().hex}"
         build().write.mode("error").parquet(staging)
         stage_path, _ = _hadoop_path(spark, staging)
@@ -84,5 +86,5 @@ def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
         if fs.exists(loc_path) or not fs.rename(stage_path, loc_path):
             fs.delete(stage_path, True)
     reader = spark.read.parquet(location)
-    _readers[(id(spark), location)] = reader
+    _readers[location] = reader
     return reader

@@ -40,3 +40,19 @@ def test_table_is_reused_and_follows_its_inputs(spark, tmp_path):
     changed = games_table(spark, str(src))
     assert _location(changed) != _location(first)
     assert changed.count() == spark.read.parquet(str(src / "orders.parquet")).count() < n
+
+
+def test_table_removed_is_rebuilt(spark, tmp_path):
+    from gamestats.sources.derived import _hadoop_path
+
+    src = tmp_path / "sf"
+    src.mkdir()
+    for name in ("orders", "lineitem"):
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", src / f"{name}.parquet")
+    first = games_table(spark, str(src))
+    n = first.count()
+    (location,) = _location(first)
+    path, fs = _hadoop_path(spark, location)
+    fs.delete(path, True)
+    again = games_table(spark, str(src))
+    assert _location(again) == {location} and again.count() == n
