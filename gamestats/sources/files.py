@@ -89,3 +89,23 @@ def read_ratings_tsv(spark: SparkSession, path: str) -> DataFrame:
         F.col("rating_text").try_cast("double").alias("rating"),
         F.col("type"),
     )
+
+
+def measured_games_table(spark: SparkSession, path: str, fmt: str = "csv",
+                         moves_mode: str = "dots") -> DataFrame:
+    """Games files (``csv``, naive ``lines`` or ``parquet``) measured once and
+    written as a Parquet table under ``spark.checkpoint.dir`` (see
+    ``gamestats.sources.derived``); later queries read the narrow columns they
+    need instead of parsing the text again.  ``path`` is a file or a folder."""
+    import sys
+
+    from gamestats.functions import bands, measures
+    from gamestats.operators import measured
+    from gamestats.operators.measured import measure_games
+    from gamestats.sources.derived import definition_fingerprint, derived_table
+
+    readers = {"csv": read_games_csv, "lines": read_games_lines, "parquet": read_games_parquet}
+    read = readers[fmt]
+    definition = definition_fingerprint(sys.modules[__name__], measures, bands, measured)
+    return derived_table(spark, f"games-{fmt}-{moves_mode}", [path],
+                         lambda: measure_games(read(spark, path), moves_mode), definition)

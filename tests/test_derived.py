@@ -56,3 +56,14 @@ def test_table_removed_is_rebuilt(spark, tmp_path):
     fs.delete(path, True)
     again = games_table(spark, str(src))
     assert _location(again) == {location} and again.count() == n
+
+
+def test_measured_csv_table_equals_measured_reader(spark, games_csv):
+    import os
+
+    from conftest import FIXTURES
+    from gamestats.sources.files import measured_games_table
+
+    t = measured_games_table(spark, os.path.join(FIXTURES, "games.csv"))
+    assert t.dtypes == games_csv.dtypes
+    assert t.exceptAll(games_csv).count() == 0 and games_csv.exceptAll(t).count() == 0
