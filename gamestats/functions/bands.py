@@ -57,9 +57,6 @@ def band_of_mean_or_black(white_elo: Column | str, black_elo: Column | str) -> C
                    .otherwise((w + b) / F.lit(2.0)))
 
 
-BAND_COLUMNS = ("elo_band", "elo_band_text", "elo_band_mean", "elo_band_black")
-
-
 def band_columns(white_elo: Column | str = "white_elo",
                  black_elo: Column | str = "black_elo") -> dict[str, Column]:
     return {

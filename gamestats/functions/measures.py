@@ -133,18 +133,6 @@ def to_int(c: Column | str) -> Column:
     return _col(c).try_cast("int")
 
 
-MEASURE_COLUMNS = (
-    "moves",
-    "captures",
-    "checks",
-    "castled",
-    "castled_dash",
-    "draw",
-    "white_win",
-    "black_win",
-)
-
-
 def measure_columns(an: Column | str = "an", result: Column | str = "result",
                     moves_mode: str = "dots") -> dict[str, Column]:
     """All per-game measures, keyed by output column name."""

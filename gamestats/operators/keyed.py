@@ -42,11 +42,6 @@ def keyed_pct(df: DataFrame, keys: Keys, flag: str | Column, alias: str) -> Data
     return df.groupBy(*_keys(keys)).agg(pct_of(flag).alias(alias))
 
 
-def keyed_stats(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> DataFrame:
-    """Several aggregates per key in one pass."""
-    return df.groupBy(*_keys(keys)).agg(*[c.alias(n) for n, c in aggs.items()])
-
-
 def keyed_sum(df: DataFrame, keys: Keys, measure: str | Column, alias: str) -> DataFrame:
     """A3."""
     return df.groupBy(*_keys(keys)).agg(F.sum(_col(measure)).alias(alias))

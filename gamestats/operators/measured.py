@@ -12,9 +12,6 @@ from pyspark.sql import DataFrame
 from gamestats.functions.bands import band_columns
 from gamestats.functions.measures import measure_columns, strip
 
-KEY_COLUMNS = ("id", "event", "white", "black", "result", "white_elo",
-               "black_elo", "eco", "opening", "time_control", "termination")
-
 
 def finish_games(df: DataFrame) -> DataFrame:
     """Strip the text keys (event, opening) and add the four rating bands."""
