@@ -41,10 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     when it is unset (local tests) is a folder set: ``fallback`` or a fresh
     temporary one.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if current:
         return current
-    path = fallback or tempfile.mkdtemp(prefix="gamestats-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    # A core setting: it cannot be changed through spark.conf at run time, so
+    # the folder is set on the context (which makes a fresh sub-folder in it).
+    sc.setCheckpointDir(fallback or tempfile.mkdtemp(prefix="gamestats-ckpt-"))
+    return sc.getCheckpointDir()

@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import uuid
+import warnings
 from collections.abc import Callable, Sequence
 from types import ModuleType
 
@@ -78,7 +79,12 @@ def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
         return cached
     if not published:
         staging = f"{location}.staging-{uuid.uuid4().hex}"
-        build().write.mode("error").parquet(staging)
+        try:
+            build().write.mode("error").parquet(staging)
+        except Exception as err:  # noqa: BLE001 - e.g. the folder is not writable
+            warnings.warn(f"derived table {name} not written under {root} ({err}); "
+                          "reading the view directly", RuntimeWarning, stacklevel=2)
+            return build()
         stage_path, _ = _hadoop_path(spark, staging)
         # Hadoop's rename moves the source *into* an existing target folder, so
         # only rename when the target is absent.  If another builder published
