@@ -14,6 +14,10 @@ row per map task in the shuffle, and no task ever holds an order's lines
 together.  The aggregate comes out hash-partitioned on the order key, which the
 join to ``orders`` reuses: only ``orders`` is shuffled for the join.
 
+The ``numbered`` move count is the one pattern with a space in it; it stays
+additive here because every fragment is exactly one ``"<n>. "`` move number
+followed by a token that never ends in a dot.
+
 ``with_text=True`` additionally builds the text (ordered collect per order);
 it is meant for exporting small samples, not for the catalogue.
 """
