@@ -79,3 +79,11 @@ def test_ratings_view(spark):
     r = ratings_from_events(spark, SF_SMALL)
     assert r.columns == ["series", "episode", "rating", "type"]
     assert dict(r.dtypes)["rating"] == "double"
+
+
+def test_numbered_moves_from_fragments_equal_text_count(spark):
+    from gamestats.functions.measures import moves
+
+    view = games_from_star(spark, SF_SMALL, moves_mode="numbered", with_text=True)
+    bad = view.where(moves("an", "numbered") != view["moves"]).count()
+    assert bad == 0
