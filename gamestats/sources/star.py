@@ -102,6 +102,11 @@ def games_from_star(spark: SparkSession, sf_dir: str, moves_mode: str = "dots",
     if with_text:
         per_order = per_order.join(_per_order_text(lineitem), "l_orderkey")
 
+    # Both sides are as large as the orders table, so the join is a sort-merge
+    # join at every scale (never a broadcast of a side that grows with the
+    # data).  The aggregate side is already hash-partitioned on the order key,
+    # so only orders is shuffled for it.
+    per_order = per_order.hint("merge")
     g = orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left")
     cust, okey, supp = F.col("o_custkey"), F.col("o_orderkey"), F.col("black_key")
     zero = F.lit(0)
