@@ -185,3 +185,17 @@ def test_sort_by_key_descending(star_small):
                        descending=True).collect()
     keys = [r["opening_event"] for r in rows]
     assert keys == sorted(keys, reverse=True)
+
+
+def test_as_written_reader_reproduces_the_saved_quirks(spark):
+    """Read the way the reference reads (naive comma split, header as data):
+    the header becomes an extra key with mean 0.0, and a quoted comma shifts
+    the move text so the game counts as length 0."""
+    from gamestats.operators.measured import measure_games
+    from gamestats.sources.files import read_games_lines
+
+    games = measure_games(read_games_lines(spark, os.path.join(FIXTURES, "games.csv")))
+    by_event = as_dict(C.avg_captures_by_event(games), "event", "avg_captures")
+    assert by_event["event"] == 0.0
+    shifted = games.where("id = 1").first()
+    assert shifted["moves"] == 0 and shifted["captures"] == 0
