@@ -34,18 +34,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """``spark.checkpoint.dir`` is unset on a cluster."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) is a folder set: ``fallback`` or a fresh
-    temporary one.
+    On a cluster that setting points at shared storage and is used as is.
+    When it is unset, a folder is set only for a local master (tests, local
+    runs): ``fallback`` or a fresh temporary one.  On a cluster a
+    machine-local folder would scatter files over the executors' disks, so
+    ``NoSharedFolder`` is raised instead, unless a ``fallback`` is given.
     """
     sc = spark.sparkContext
     current = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if current:
         return current
+    if fallback is None:
+        if not sc.master.startswith("local"):
+            raise NoSharedFolder(f"set {CHECKPOINT_CONF} to a folder on shared storage")
+        fallback = tempfile.mkdtemp(prefix="gamestats-ckpt-")
     # A core setting: it cannot be changed through spark.conf at run time, so
     # the folder is set on the context (which makes a fresh sub-folder in it).
-    sc.setCheckpointDir(fallback or tempfile.mkdtemp(prefix="gamestats-ckpt-"))
+    sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir()

@@ -29,7 +29,7 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gamestats.session import ensure_checkpoint_dir
+from gamestats.session import NoSharedFolder, ensure_checkpoint_dir
 
 TABLES_FOLDER = "gamestats-tables"
 
@@ -68,9 +68,14 @@ def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
                   build: Callable[[], DataFrame], definition: str) -> DataFrame:
     """Read the table ``build()`` defines over ``inputs``, writing it first if
     no table exists yet for this definition and these inputs."""
+    try:
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+    except NoSharedFolder as err:
+        warnings.warn(f"derived table {name} not written ({err}); reading the view "
+                      "directly", RuntimeWarning, stacklevel=2)
+        return build()
     key = f"{name}\n{definition}\n{input_fingerprint(spark, inputs)}"
     digest = hashlib.sha256(key.encode()).hexdigest()[:20]
-    root = ensure_checkpoint_dir(spark).rstrip("/")
     location = f"{root}/{TABLES_FOLDER}/{name}-{digest}"
     loc_path, fs = _hadoop_path(spark, location)
     published = fs.exists(loc_path.suffix("/_SUCCESS"))

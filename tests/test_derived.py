@@ -83,3 +83,48 @@ def test_unwritable_folder_falls_back_to_the_view(spark, tmp_path, monkeypatch):
         df = derived.derived_table(spark, "probe", [orders],
                                    lambda: spark.read.parquet(orders), "v1")
     assert df.count() == spark.read.parquet(orders).count()
+
+
+class _FakeConf:
+    def get(self, key, default=None):
+        return default
+
+
+class _FakeContext:
+    master = "yarn"
+
+    def getConf(self):
+        return _FakeConf()
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _FakeSession:
+    sparkContext = _FakeContext()
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+
+    from gamestats.session import NoSharedFolder, ensure_checkpoint_dir
+
+    with pytest.raises(NoSharedFolder):
+        ensure_checkpoint_dir(_FakeSession())
+
+
+def test_cluster_without_shared_folder_reads_the_view(spark, monkeypatch):
+    import pytest
+
+    from gamestats.session import NoSharedFolder
+    from gamestats.sources import derived
+
+    def no_folder(s):
+        raise NoSharedFolder("unset")
+
+    monkeypatch.setattr(derived, "ensure_checkpoint_dir", no_folder)
+    orders = f"{SF_SMALL}/orders.parquet"
+    with pytest.warns(RuntimeWarning):
+        df = derived.derived_table(spark, "probe", [orders],
+                                   lambda: spark.read.parquet(orders), "v1")
+    assert df.inputFiles() == spark.read.parquet(orders).inputFiles()
