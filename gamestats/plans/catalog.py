@@ -207,6 +207,32 @@ RATING_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _top_order(value: str, key: str) -> list[tuple[str, str]]:
+    return [(value, "desc"), (key, "asc")]
+
+
+# The row order of the queries whose result is ordered (sorted by key, or
+# ranked by value), as (column, direction) with NULLs last; used when a result
+# is written as one ordered file.
+RESULT_ORDER: dict[str, list[tuple[str, str]]] = {
+    "avg_captures_by_elo": [("elo_band", "asc")],
+    "avg_captures_by_elo_text": [("elo_band", "asc")],
+    "avg_captures_by_moves": [("moves", "asc")],
+    "draw_pct_by_opening_top50": _top_order("draw_pct", "eco_opening"),
+    "white_win_pct_by_opening_top50": _top_order("white_win_pct", "eco_opening"),
+    "castling_pct_by_elo_top10": _top_order("castling_pct", "elo_band"),
+    "castling_pct_by_elo_top10_text": _top_order("castling_pct", "elo_band"),
+    "castling_pct_by_elo_top10_dash": _top_order("castling_pct", "elo_band"),
+    "castling_pct_by_event_top50": _top_order("castling_pct", "event"),
+    "castling_pct_by_event_top50_dash": _top_order("castling_pct", "event"),
+}
+
+
+def order_columns(order: list[tuple[str, str]]) -> list[F.Column]:
+    return [F.col(c).desc_nulls_last() if d == "desc" else F.col(c).asc_nulls_last()
+            for c, d in order]
+
+
 def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every catalogue query as ``(spark, sf_dir) -> DataFrame`` over the
     star-schema views.  Game queries read the measured-games table, which is

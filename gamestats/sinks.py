@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def _writer(df: DataFrame, fmt: str, mode: str):
@@ -25,8 +25,8 @@ def write_parts(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_single(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
-                 sort_by: str | Sequence[str] | None = None) -> None:
-    """K2 / K3: one part file, optionally sorted by key.
+                 sort_by: str | Column | Sequence[str | Column] | None = None) -> None:
+    """K2 / K3: one part file, optionally sorted (names or sort Columns).
 
     ``repartition(1)`` keeps the aggregation upstream parallel and moves only
     its (small) result into the single writing task; ``coalesce(1)`` would pull
@@ -34,7 +34,7 @@ def write_single(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwr
     """
     one = df.repartition(1)
     if sort_by is not None:
-        keys = [sort_by] if isinstance(sort_by, str) else list(sort_by)
+        keys = [sort_by] if isinstance(sort_by, (str, Column)) else list(sort_by)
         one = one.sortWithinPartitions(*keys)
     _writer(one, fmt, mode).save(path)
 
