@@ -15,12 +15,11 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gamestats.operators.best import SERIES_TYPE
 from gamestats.plans.catalog import GAME_QUERIES, RATING_QUERIES, RESULT_ORDER, order_columns
 from gamestats.sinks import show_rows, write_parts, write_single
 from gamestats.sources.files import measured_games_table, read_ratings_tsv
 
-SERIES_TYPE = "TV_SERIES"
-
 
 def run_query(spark: SparkSession, query: str, path: str, input_format: str = "csv",
               item_type: str = SERIES_TYPE) -> DataFrame:
