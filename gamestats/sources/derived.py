@@ -89,6 +89,11 @@ def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
         except Exception as err:  # noqa: BLE001 - e.g. the folder is not writable
             warnings.warn(f"derived table {name} not written under {root} ({err}); "
                           "reading the view directly", RuntimeWarning, stacklevel=2)
+            try:  # drop whatever the failed write left behind
+                partial, partial_fs = _hadoop_path(spark, staging)
+                partial_fs.delete(partial, True)
+            except Exception:  # noqa: BLE001 - cleanup is best effort
+                pass
             return build()
         stage_path, _ = _hadoop_path(spark, staging)
         # Hadoop's rename moves the source *into* an existing target folder, so
