@@ -17,7 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gamestats.functions.measures import WHITE_WINS
 from gamestats.operators.best import all_names, best_names, rated_items, summarise_group
+from gamestats.operators.filters import with_result
 from gamestats.operators.keyed import (keyed_mean, keyed_pct, keyed_ratio, mean_of,
                                        multi_keyed, pct_of)
 from gamestats.operators.ranking import sample_k, sort_by_key, top_k
@@ -127,6 +129,15 @@ def white_win_share_by_opening_event(g: DataFrame) -> DataFrame:         # Q16
                          "white_win_share")
 
 
+def white_wins_by_opening_event(g: DataFrame) -> DataFrame:              # Q16, as drafted
+    """The draft's own steps: keep the games white won (F2), then aggregate per
+    opening#event; the count is the aggregate that is defined on those rows.
+    The filter reaches the Parquet scan of the games table."""
+    wins = with_result(g, WHITE_WINS).groupBy("opening", "event").agg(
+        F.count(F.lit(1)).alias("white_wins"))
+    return wins.select(_label("opening", "event").alias("opening_event"), "white_wins")
+
+
 # --- all keys over one scan (A9) -------------------------------------------
 
 GROUPING_SETS = {
@@ -196,6 +207,7 @@ GAME_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "draw_share_by_opening_event": draw_share_by_opening_event,
     "draw_share_sample10": draw_share_sample10,
     "white_win_share_by_opening_event": white_win_share_by_opening_event,
+    "white_wins_by_opening_event": white_wins_by_opening_event,
     "game_stats_grouping_sets": game_stats_grouping_sets,
     "black_win_pct_by_opening": black_win_pct_by_opening,
 }

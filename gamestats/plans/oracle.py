@@ -186,6 +186,9 @@ def oracle_sql() -> dict[str, str]:
             "opening_event ASC NULLS LAST LIMIT 10"),
         "white_win_share_by_opening_event": _pair(
             "opening", "event", _mean("white_win"), "opening_event", "white_win_share"),
+        "white_wins_by_opening_event": _games(
+            "SELECT concat_ws('#', opening, event) AS opening_event, count(*) AS white_wins "
+            "FROM games WHERE result = '1-0' GROUP BY opening, event"),
         "game_stats_grouping_sets": _grouping_sets_sql(),
         "black_win_pct_by_opening": _pair("eco", "opening", _pct("black_win"), "eco_opening",
                                           "black_win_pct"),

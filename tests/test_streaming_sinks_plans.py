@@ -111,3 +111,9 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     assert df.columns == E.entry(spark).columns
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_result_filter_pushed_to_games_table_scan(spark):
+    df = C.star_queries()["white_wins_by_opening_event"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(result), EqualTo(result,1-0)]" in plan
