@@ -41,15 +41,18 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Size, file count and modification time of each input (metadata calls
-    only, no data read)."""
+    """Size, file count and modification time of each input file, folder or
+    glob match (metadata calls only, no data read)."""
     parts = []
     for path in paths:
         p, fs = _hadoop_path(spark, path)
-        summary = fs.getContentSummary(p)
-        status = fs.getFileStatus(p)
-        parts.append(f"{fs.makeQualified(p).toString()}|{summary.getLength()}|"
-                     f"{summary.getFileCount()}|{status.getModificationTime()}")
+        matches = fs.globStatus(p) or []
+        if not matches:
+            parts.append(f"{path}|missing")  # the read itself reports the error
+        for status in matches:
+            summary = fs.getContentSummary(status.getPath())
+            parts.append(f"{status.getPath().toString()}|{summary.getLength()}|"
+                         f"{summary.getFileCount()}|{status.getModificationTime()}")
     return "\n".join(parts)
 
 

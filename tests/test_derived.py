@@ -128,3 +128,23 @@ def test_cluster_without_shared_folder_reads_the_view(spark, monkeypatch):
         df = derived.derived_table(spark, "probe", [orders],
                                    lambda: spark.read.parquet(orders), "v1")
     assert df.inputFiles() == spark.read.parquet(orders).inputFiles()
+
+
+def test_glob_inputs_are_fingerprinted(spark, tmp_path):
+    from gamestats.sources.derived import input_fingerprint
+    from gamestats.sources.files import measured_games_table
+
+    src = tmp_path / "games"
+    src.mkdir()
+    import os
+
+    from conftest import FIXTURES
+    shutil.copy(os.path.join(FIXTURES, "games.csv"), src / "a.csv")
+    glob = str(src / "*.csv")
+    before = input_fingerprint(spark, [glob])
+    assert "a.csv" in before
+    t = measured_games_table(spark, glob)
+    assert t.count() == 7
+    shutil.copy(os.path.join(FIXTURES, "games.csv"), src / "b.csv")
+    assert input_fingerprint(spark, [glob]) != before
+    assert measured_games_table(spark, glob).count() == 14
