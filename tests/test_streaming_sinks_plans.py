@@ -117,3 +117,17 @@ def test_result_filter_pushed_to_games_table_scan(spark):
     df = C.star_queries()["white_wins_by_opening_event"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(result), EqualTo(result,1-0)]" in plan
+
+
+def test_ranked_query_as_a_stream(spark, tmp_path, games_csv):
+    """A top-K query runs on the stream too (complete mode sorts and limits)."""
+    src = tmp_path / "incoming_topk"
+    src.mkdir()
+    (src / "all.csv").write_text(open(os.path.join(FIXTURES, "games.csv")).read())
+    stream = read_games_stream(spark, str(src))
+    q = start_keyed_stream(stream, C.draw_pct_by_opening_top50, "draw_top_stream",
+                           checkpoint=str(tmp_path / "ckpt_topk"), available_now=True)
+    q.awaitTermination(120)
+    got = [tuple(r) for r in spark.table("draw_top_stream").collect()]
+    want = [tuple(r) for r in C.draw_pct_by_opening_top50(games_csv).collect()]
+    assert sorted(got) == sorted(want)
