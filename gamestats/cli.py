@@ -1,6 +1,7 @@
 """Command line: run one catalogue query on a games or ratings file.
 
     python -m gamestats QUERY INPUT OUTPUT [options]
+    python -m gamestats all-games INPUT OUTPUT_DIR [options]
     spark-submit gamestats/cli.py QUERY INPUT OUTPUT [options]
 
 Game queries read games files (quoted CSV by default), measured once into a
@@ -20,6 +21,9 @@ from gamestats.plans.catalog import GAME_QUERIES, RATING_QUERIES, RESULT_ORDER,
 from gamestats.sinks import show_rows, write_parts, write_single
 from gamestats.sources.files import measured_games_table, read_ratings_tsv
 
+ALL_GAMES = "all-games"
+ALL_RATINGS = "all-ratings"
+
 
 def run_query(spark: SparkSession, query: str, path: str, input_format: str = "csv",
               item_type: str = SERIES_TYPE) -> DataFrame:
@@ -30,9 +34,12 @@ def run_query(spark: SparkSession, query: str, path: str, input_format: str = "c
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m gamestats",
-                                description="Run one catalogue query and write its result.")
-    p.add_argument("query", choices=sorted(GAME_QUERIES) + sorted(RATING_QUERIES))
-    p.add_argument("input", help="games file or folder (or ratings TSV for series_* queries)")
+                                description="Run catalogue queries and write their results.")
+    p.add_argument("query", choices=[ALL_GAMES, ALL_RATINGS]
+                   + sorted(GAME_QUERIES) + sorted(RATING_QUERIES),
+                   help=f"one query, or {ALL_GAMES} / {ALL_RATINGS} for every game / "
+                        "rating query (each to OUTPUT/<query>)")
+    p.add_argument("input", help="games file, folder or glob (ratings TSV for series_* queries)")
     p.add_argument("output", help="output folder")
     p.add_argument("--input-format", choices=["csv", "lines", "parquet"], default="csv",
                    help="games input: quoted CSV, naive comma split, or Parquet")
@@ -44,17 +51,28 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _write(df: DataFrame, query: str, output: str, fmt: str, single: bool) -> None:
+    if single:
+        order = RESULT_ORDER.get(query, [(df.columns[0], "asc")])
+        write_single(df, output, fmt, sort_by=order_columns(order))
+    else:
+        write_parts(df, output, fmt)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"gamestats-{args.query}").getOrCreate()
-    df = run_query(spark, args.query, args.input, args.input_format, args.item_type)
-    if args.show:
-        show_rows(df, args.show, truncate=False)
-    if args.single:
-        order = RESULT_ORDER.get(args.query, [(df.columns[0], "asc")])
-        write_single(df, args.output, args.output_format, sort_by=order_columns(order))
+    if args.query in (ALL_GAMES, ALL_RATINGS):
+        # Every game query reads the same measured table, built once here.
+        names = sorted(GAME_QUERIES if args.query == ALL_GAMES else RATING_QUERIES)
+        targets = [(n, f"{args.output.rstrip('/')}/{n}") for n in names]
     else:
-        write_parts(df, args.output, args.output_format)
+        targets = [(args.query, args.output)]
+    for name, output in targets:
+        df = run_query(spark, name, args.input, args.input_format, args.item_type)
+        if args.show:
+            show_rows(df, args.show, truncate=False)
+        _write(df, name, output, args.output_format, args.single)
 
 
 if __name__ == "__main__":

@@ -46,3 +46,22 @@ def test_rating_query_from_tsv(spark, tmp_path):
 def test_unknown_query_is_rejected(spark, tmp_path):
     with pytest.raises(SystemExit):
         main(["no_such_query", GAMES, str(tmp_path / "x")], spark=spark)
+
+
+def test_all_game_queries_in_one_run(spark, tmp_path):
+    from gamestats.plans.catalog import GAME_QUERIES
+
+    out = tmp_path / "all"
+    main(["all-games", GAMES, str(out), "--output-format", "parquet"], spark=spark)
+    assert sorted(os.listdir(out)) == sorted(GAME_QUERIES)
+    by_event = {r["event"]: r["avg_captures"]
+                for r in spark.read.parquet(str(out / "avg_captures_by_event")).collect()}
+    assert by_event == pytest.approx({"Blitz": 2 / 3, "Classical": 1.0, "Bullet": 0.0})
+
+
+def test_all_rating_queries_in_one_run(spark, tmp_path):
+    from gamestats.plans.catalog import RATING_QUERIES
+
+    out = tmp_path / "all_ratings"
+    main(["all-ratings", RATINGS, str(out), "--single"], spark=spark)
+    assert sorted(os.listdir(out)) == sorted(RATING_QUERIES)
