@@ -42,6 +42,12 @@ def start_keyed_stream(games: DataFrame, query: Callable[[DataFrame], DataFrame]
     """Start one catalogue aggregation (e.g. ``avg_captures_by_event``) on a
     stream of measured games, in complete mode.
 
+    ``sink`` is ``memory`` (a table named ``name``, for tests and notebooks) or
+    a file format (``parquet``, ``csv``, ``json``) written to ``path``.  File
+    sinks only append, so each trigger's complete result replaces the folder's
+    contents through ``foreachBatch``; writing the same complete result again
+    after a replayed batch gives the same files.
+
     The checkpoint goes under the session's ``spark.checkpoint.dir`` (shared
     storage on a cluster) unless given.
     """
@@ -53,7 +59,16 @@ def start_keyed_stream(games: DataFrame, query: Callable[[DataFrame], DataFrame]
     if sink == "memory":
         writer = writer.format("memory").queryName(name)
     else:
-        writer = writer.format(sink).option("path", path)
+        if path is None:
+            raise ValueError(f"a {sink} sink needs a path")
+
+        def replace_result(batch: DataFrame, _batch_id: int) -> None:
+            out = batch.write.mode("overwrite").format(sink)
+            if sink == "csv":
+                out = out.option("header", True)
+            out.save(path)
+
+        writer = writer.foreachBatch(replace_result).queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -131,3 +131,20 @@ def test_ranked_query_as_a_stream(spark, tmp_path, games_csv):
     got = [tuple(r) for r in spark.table("draw_top_stream").collect()]
     want = [tuple(r) for r in C.draw_pct_by_opening_top50(games_csv).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_stream_to_parquet_keeps_the_complete_result(spark, tmp_path, games_csv):
+    src = tmp_path / "incoming_files"
+    src.mkdir()
+    lines = open(os.path.join(FIXTURES, "games.csv")).read().splitlines()
+    (src / "a.csv").write_text("\n".join(lines[:4]) + "\n")
+    out, ckpt = str(tmp_path / "by_event"), str(tmp_path / "ckpt_files")
+    stream = read_games_stream(spark, str(src))
+    start_keyed_stream(stream, C.avg_checks_by_event, "checks_files", sink="parquet",
+                       path=out, checkpoint=ckpt, available_now=True).awaitTermination(120)
+    (src / "b.csv").write_text("\n".join([lines[0]] + lines[4:]) + "\n")
+    start_keyed_stream(stream, C.avg_checks_by_event, "checks_files", sink="parquet",
+                       path=out, checkpoint=ckpt, available_now=True).awaitTermination(120)
+    got = {r["event"]: r["avg_checks"] for r in spark.read.parquet(out).collect()}
+    want = {r["event"]: r["avg_checks"] for r in C.avg_checks_by_event(games_csv).collect()}
+    assert got == pytest.approx(want)
