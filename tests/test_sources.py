@@ -87,3 +87,24 @@ def test_numbered_moves_from_fragments_equal_text_count(spark):
     view = games_from_star(spark, SF_SMALL, moves_mode="numbered", with_text=True)
     bad = view.where(moves("an", "numbered") != view["moves"]).count()
     assert bad == 0
+
+
+def test_parquet_games_path(spark, tmp_path, games_csv):
+    """Games kept as Parquet read, measure and stream like the CSV."""
+    import pytest
+
+    from gamestats.plans import catalog as C
+    from gamestats.sources.files import measured_games_table
+    from gamestats.streaming import read_games_stream, start_keyed_stream
+
+    folder = str(tmp_path / "games_parquet")
+    read_games_csv(spark, GAMES).write.parquet(folder)
+    t = measured_games_table(spark, folder, fmt="parquet")
+    assert t.exceptAll(games_csv).count() == 0 and games_csv.exceptAll(t).count() == 0
+
+    stream = read_games_stream(spark, folder, fmt="parquet")
+    start_keyed_stream(stream, C.avg_moves_by_event, "moves_parquet_stream",
+                       checkpoint=str(tmp_path / "ckpt"), available_now=True).awaitTermination(120)
+    got = {r["event"]: r["avg_moves"] for r in spark.table("moves_parquet_stream").collect()}
+    want = {r["event"]: r["avg_moves"] for r in C.avg_moves_by_event(games_csv).collect()}
+    assert got == pytest.approx(want)
