@@ -57,8 +57,9 @@ def keyed_ratio(df: DataFrame, key: str, flag: str | Column, alias: str) -> Data
     inner-joined on the key (J1), then ``sum / count * 100``.
 
     Both sides come out of their aggregation hash-partitioned on the key, so
-    the join adds no shuffle, and the common input subtree is shared through
-    exchange reuse.  ``keyed_pct`` gives the same values in one aggregation.
+    the join adds no shuffle; the input is scanned once per side (each side
+    reads only the columns it needs).  ``keyed_pct`` gives the same values in
+    one aggregation.
     """
     sums = keyed_sum(df, key, _col(flag).cast("long"), "_flag_sum")
     counts = keyed_count(df, key, "_games")
