@@ -64,10 +64,10 @@ def best_names(df: DataFrame, key: str, rating: str, name: str) -> DataFrame:
     then only the rows that hit the maximum are picked by an equi-join on
     ``(key, rating)``.  That join spreads a hot group over the shuffle by
     rating, and only the winning rows are merged per group; no task sorts or
-    holds a whole group.  The merge groups by the summary side's columns, whose
-    partitioning already satisfies it, so it adds no shuffle.  The summary is
-    one row per group; AQE broadcasts it only when its measured size is under
-    the broadcast threshold and keeps the shuffle join otherwise.
+    holds a whole group.  The last shuffle, into the merge, carries only the
+    winning rows.  The summary is one row per group; AQE broadcasts it only
+    when its measured size is under the broadcast threshold and keeps the
+    shuffle join otherwise.
     """
     summary = summarise_group(df, key, rating).withColumnRenamed(key, "_group")
     detail = df.select(F.col(key).alias("_item_group"), F.col(rating).alias("_rating"),
