@@ -2,9 +2,10 @@
 
 Game queries take a measured-games frame (``games_from_star``,
 ``measure_games(read_games_csv(...))`` ...); rating queries take a ratings
-frame ``(series, episode, rating, type)``.  Every query is one declarative
-plan: scan -> column expressions -> partial aggregate -> shuffle on the key ->
-final aggregate -> optional top-K / sort.  No Python runs per row.
+frame ``(series, episode, rating, type)``.  Almost every query is one
+declarative plan: scan -> column expressions -> partial aggregate -> shuffle on
+the key -> final aggregate -> optional top-K / sort; the join form of the draw
+percentage and the best-names query add one equi-join.  No Python runs per row.
 
 Composite keys are grouped as separate columns; the ``#``-joined label is
 built after the aggregation, on one row per group.
