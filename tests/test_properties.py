@@ -45,3 +45,45 @@ def test_counts_are_additive_over_space_joined_fragments(spark, frags):
     whole = (joined.count("."), joined.count("x"), joined.count("+"),
              int("++" in joined), int("O-O" in joined), int("-" in joined))
     assert tuple(parts) == whole
+
+
+def py_band(value, as_text=False):
+    """Independent band rule: position of the value among the edges."""
+    import bisect
+
+    from gamestats.functions.bands import BAND_EDGES, BAND_NAMES
+
+    if value is None:
+        return None
+    edges = [str(e) for e in BAND_EDGES] if as_text else list(BAND_EDGES)
+    return BAND_NAMES[bisect.bisect_right(edges, value)]
+
+
+def _int(text):
+    return int(text) if text is not None and text.isdigit() else None
+
+
+ratings = st.one_of(st.none(), st.just("?"), st.integers(0, 3200).map(str))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(ratings, ratings), min_size=1, max_size=40))
+def test_bands_match_an_independent_rule(spark, pairs):
+    from gamestats.functions import bands as B
+
+    df = spark.createDataFrame([(i, w, b) for i, (w, b) in enumerate(pairs)],
+                               "i int, w string, b string")
+    got = [tuple(r) for r in df.orderBy("i").select(
+        B.band_of_max("w", "b"), B.band_of_max_text("w", "b"),
+        B.band_of_mean("w", "b"), B.band_of_mean_or_black("w", "b")).collect()]
+    want = []
+    for w, b in pairs:
+        wi, bi = _int(w), _int(b)
+        nums = [v for v in (wi, bi) if v is not None]
+        texts = [v for v in (w, b) if v is not None]
+        mean = (wi + bi) / 2 if wi is not None and bi is not None else None
+        fallback = bi if wi is None else mean
+        want.append((py_band(max(nums) if nums else None),
+                     py_band(max(texts) if texts else None, as_text=True),
+                     py_band(mean), py_band(fallback)))
+    assert got == want
