@@ -87,3 +87,61 @@ def test_bands_match_an_independent_rule(spark, pairs):
                      py_band(max(texts) if texts else None, as_text=True),
                      py_band(mean), py_band(fallback)))
     assert got == want
+
+
+rows_st = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abcd")),
+                             st.integers(0, 3).map(float),
+                             st.text(alphabet="xyz", min_size=1, max_size=3)),
+                   min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(rows_st)
+def test_keyed_operators_match_python(spark, rows):
+    from gamestats.operators.keyed import keyed_mean, keyed_pct, keyed_ratio
+    from gamestats.operators.ranking import top_k
+
+    df = spark.createDataFrame(rows, "k string, v double, n string").withColumn(
+        "flag", (F.col("v") >= 2).cast("int"))
+    groups = {}
+    for k, v, _ in rows:
+        groups.setdefault(k, []).append(v)
+    mean = {k: sum(vs) / len(vs) for k, vs in groups.items()}
+    pct = {k: sum(1 for v in vs if v >= 2) / len(vs) * 100 for k, vs in groups.items()}
+
+    got_mean = {r["k"]: r["m"] for r in keyed_mean(df, "k", "v", "m").collect()}
+    got_pct = {r["k"]: r["p"] for r in keyed_pct(df, "k", "flag", "p").collect()}
+    assert got_mean == mean and got_pct == pct
+    ratio = keyed_ratio(df.where(F.col("k").isNotNull()), "k", "flag", "p")
+    assert {r["k"]: r["p"] for r in ratio.collect()} == {k: p for k, p in pct.items()
+                                                          if k is not None}
+
+    ranked = sorted(mean.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] or ""))[:2]
+    got_top = [(r["k"], r["m"]) for r in top_k(keyed_mean(df, "k", "v", "m"), "m", 2, "k")
+               .collect()]
+    assert got_top == ranked
+
+
+@SETTINGS
+@given(rows_st)
+def test_best_and_all_names_match_python(spark, rows):
+    from gamestats.operators.best import all_names, best_names
+
+    rows = [(k, v, n) for k, v, n in rows if k is not None]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "k string, v double, n string")
+    groups = {}
+    for k, v, n in rows:
+        groups.setdefault(k, []).append((v, n))
+    want_best, want_all = {}, {}
+    for k, items in groups.items():
+        top = max(v for v, _ in items)
+        avg = round(sum(v for v, _ in items) / len(items), 9)
+        want_best[k] = (" | ".join(sorted(n for v, n in items if v == top)), top, avg)
+        want_all[k] = (" | ".join(sorted(n for _, n in items)), top, avg)
+    got_best = {r["k"]: (r["best_names"], r["max_rating"], r["avg_rating"])
+                for r in best_names(df, "k", "v", "n").collect()}
+    got_all = {r["k"]: (r["names"], r["max_rating"], r["avg_rating"])
+               for r in all_names(df, "k", "v", "n").collect()}
+    assert got_best == want_best and got_all == want_all
