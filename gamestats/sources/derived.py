@@ -13,9 +13,10 @@ modification time).  A changed input or a changed definition gives a new
 location, so a stale table is never read.  When the table exists, its plan is
 not even built: a query pays only a metadata check and the scan of the
 columns it reads.
-A table is published by writing to a temporary folder and renaming it, so a
-reader never sees a half-written table and two concurrent builders cannot mix
-their files.
+A build writes into a fresh data folder of its own and is published by
+creating a small pointer file that names that folder (create-if-absent, atomic
+on HDFS and local file systems), so a reader never sees a half-written table,
+two concurrent builders never mix files, and nothing is renamed or copied.
 """
 
 from __future__ import annotations
@@ -62,15 +63,58 @@ def definition_fingerprint(*modules: ModuleType) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:20]
 
 
+POINTER = "_CURRENT"
+
 # Published tables never change, so a session reuses its reader of a table
 # (the file listing and schema are read once) while the table is still there.
-_readers: dict[str, DataFrame] = {}
+_readers: dict[str, tuple[str, DataFrame]] = {}
+
+
+def _read_pointer(spark: SparkSession, fs, pointer) -> str | None:
+    if not fs.exists(pointer):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(pointer)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return line.strip() if line else None
+
+
+def _create_pointer(fs, pointer, folder: str) -> bool:
+    """Create the pointer naming ``folder``; False if it already exists.
+    ``create(..., overwrite=False)`` is atomic on HDFS and local file systems."""
+    if fs.exists(pointer):
+        return False
+    try:
+        out = fs.create(pointer, False)
+    except Exception:  # noqa: BLE001 - created by a concurrent builder
+        return False
+    try:
+        out.write(bytearray(folder.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def _published_folder(spark: SparkSession, fs, location: str) -> str | None:
+    """The data folder the pointer names, if that folder is complete."""
+    folder = _read_pointer(spark, fs, _hadoop_path(spark, f"{location}/{POINTER}")[0])
+    if folder and fs.exists(_hadoop_path(spark, f"{location}/{folder}/_SUCCESS")[0]):
+        return folder
+    return None
 
 
 def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
                   build: Callable[[], DataFrame], definition: str) -> DataFrame:
     """Read the table ``build()`` defines over ``inputs``, writing it first if
-    no table exists yet for this definition and these inputs."""
+    no table exists yet for this definition and these inputs.
+
+    Each build writes into its own data folder and is published by creating a
+    small pointer file that names it; nothing is renamed or copied, which
+    matters on object stores, where renaming a folder copies every file.
+    """
     try:
         root = ensure_checkpoint_dir(spark).rstrip("/")
     except NoSharedFolder as err:
@@ -80,30 +124,33 @@ def derived_table(spark: SparkSession, name: str, inputs: Sequence[str],
     key = f"{name}\n{definition}\n{input_fingerprint(spark, inputs)}"
     digest = hashlib.sha256(key.encode()).hexdigest()[:20]
     location = f"{root}/{TABLES_FOLDER}/{name}-{digest}"
-    loc_path, fs = _hadoop_path(spark, location)
-    published = fs.exists(loc_path.suffix("/_SUCCESS"))
-    cached = _readers.get(location)
-    if published and cached is not None and cached.sparkSession is spark:
+    pointer, fs = _hadoop_path(spark, f"{location}/{POINTER}")
+    folder = _published_folder(spark, fs, location)
+    cached_folder, cached = _readers.get(location, (None, None))
+    if folder and folder == cached_folder and cached.sparkSession is spark:
         return cached
-    if not published:
-        staging = f"{location}.staging-{uuid.uuid4().hex}"
+    if folder is None:
+        if fs.exists(pointer):
+            fs.delete(pointer, False)  # names a folder that is gone or incomplete
+        mine = f"data-{uuid.uuid4().hex}"
+        target, _ = _hadoop_path(spark, f"{location}/{mine}")
         try:
-            build().write.mode("error").parquet(staging)
+            build().write.mode("error").parquet(f"{location}/{mine}")
         except Exception as err:  # noqa: BLE001 - e.g. the folder is not writable
             warnings.warn(f"derived table {name} not written under {root} ({err}); "
                           "reading the view directly", RuntimeWarning, stacklevel=2)
             try:  # drop whatever the failed write left behind
-                partial, partial_fs = _hadoop_path(spark, staging)
-                partial_fs.delete(partial, True)
+                fs.delete(target, True)
             except Exception:  # noqa: BLE001 - cleanup is best effort
                 pass
             return build()
-        stage_path, _ = _hadoop_path(spark, staging)
-        # Hadoop's rename moves the source *into* an existing target folder, so
-        # only rename when the target is absent.  If another builder published
-        # the same table meanwhile, our copy is redundant.
-        if fs.exists(loc_path) or not fs.rename(stage_path, loc_path):
-            fs.delete(stage_path, True)
-    reader = spark.read.parquet(location)
-    _readers[location] = reader
+        if _create_pointer(fs, pointer, mine):
+            folder = mine
+        else:  # a concurrent builder published first: use its table, drop ours
+            fs.delete(target, True)
+            folder = _published_folder(spark, fs, location)
+            if folder is None:
+                return build()
+    reader = spark.read.parquet(f"{location}/{folder}")
+    _readers[location] = (folder, reader)
     return reader

@@ -51,11 +51,13 @@ def test_table_removed_is_rebuilt(spark, tmp_path):
         shutil.copy(f"{SF_SMALL}/{name}.parquet", src / f"{name}.parquet")
     first = games_table(spark, str(src))
     n = first.count()
-    (location,) = _location(first)
-    path, fs = _hadoop_path(spark, location)
-    fs.delete(path, True)
+    (folder,) = _location(first)
+    path, fs = _hadoop_path(spark, folder)
+    fs.delete(path, True)                      # the data folder goes; its pointer stays
     again = games_table(spark, str(src))
-    assert _location(again) == {location} and again.count() == n
+    (rebuilt,) = _location(again)
+    assert rebuilt != folder and rebuilt.rsplit("/", 1)[0] == folder.rsplit("/", 1)[0]
+    assert again.count() == n
 
 
 def test_measured_csv_table_equals_measured_reader(spark, games_csv):
@@ -148,3 +150,27 @@ def test_glob_inputs_are_fingerprinted(spark, tmp_path):
     shutil.copy(os.path.join(FIXTURES, "games.csv"), src / "b.csv")
     assert input_fingerprint(spark, [glob]) != before
     assert measured_games_table(spark, glob).count() == 14
+
+
+def test_concurrent_builder_keeps_the_first_published_table(spark, tmp_path, monkeypatch):
+    """If another builder publishes while we build, ours is dropped and theirs
+    is read."""
+    from gamestats.sources import derived
+
+    orders = f"{SF_SMALL}/orders.parquet"
+    build = lambda: spark.read.parquet(orders)
+    monkeypatch.setattr(derived, "ensure_checkpoint_dir", lambda s: str(tmp_path / "ckpt"))
+    real_create = derived._create_pointer
+
+    def lose_the_race(fs, pointer, folder):
+        # Another builder publishes its own table just before we try to.
+        spark.read.parquet(orders).write.parquet(str(tmp_path / "ckpt" / "other"))
+        real_create(fs, pointer, "../../other")
+        return False
+
+    monkeypatch.setattr(derived, "_create_pointer", lose_the_race)
+    df = derived.derived_table(spark, "race", [orders], build, "v1")
+    files = df.inputFiles()
+    assert files and all("/other/" in f for f in files)
+    (table,) = list((tmp_path / "ckpt" / "gamestats-tables").iterdir())
+    assert [f.name for f in table.iterdir() if f.name.startswith("data-")] == []
