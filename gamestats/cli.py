@@ -48,6 +48,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--single", action="store_true",
                    help="write one file, in the query's order (by key when it has none)")
     p.add_argument("--show", type=int, default=0, metavar="N", help="also print N rows")
+    p.add_argument("--explain", action="store_true",
+                   help="print the formatted physical plan before running")
     return p
 
 
@@ -70,6 +72,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         targets = [(args.query, args.output)]
     for name, output in targets:
         df = run_query(spark, name, args.input, args.input_format, args.item_type)
+        if args.explain:
+            df.explain("formatted")
         if args.show:
             show_rows(df, args.show, truncate=False)
         _write(df, name, output, args.output_format, args.single)

@@ -65,3 +65,9 @@ def test_all_rating_queries_in_one_run(spark, tmp_path):
     out = tmp_path / "all_ratings"
     main(["all-ratings", RATINGS, str(out), "--single"], spark=spark)
     assert sorted(os.listdir(out)) == sorted(RATING_QUERIES)
+
+
+def test_explain_prints_the_plan(spark, tmp_path, capsys):
+    main(["white_wins_by_opening_event", GAMES, str(tmp_path / "w"), "--explain"], spark=spark)
+    out = capsys.readouterr().out
+    assert "Physical Plan" in out and "PushedFilters" in out
