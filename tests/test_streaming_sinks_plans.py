@@ -148,3 +148,17 @@ def test_stream_to_parquet_keeps_the_complete_result(spark, tmp_path, games_csv)
     got = {r["event"]: r["avg_checks"] for r in spark.read.parquet(out).collect()}
     want = {r["event"]: r["avg_checks"] for r in C.avg_checks_by_event(games_csv).collect()}
     assert got == pytest.approx(want)
+
+
+JOIN_QUERIES = {"draw_pct_by_opening", "series_best_names"}
+
+
+@pytest.mark.parametrize("name", sorted(C.star_queries()))
+def test_one_shuffle_per_keyed_query(spark, name):
+    """Every keyed query shuffles once, on its key (a sorted result adds one
+    range exchange for the sort); the two queries with a join shuffle at most
+    twice."""
+    plan = _plan(C.star_queries()[name](spark, SF_SMALL))
+    hashed = plan.count("Exchange hashpartitioning")
+    assert hashed == 1 if name not in JOIN_QUERIES else 1 <= hashed <= 2
+    assert plan.count("Exchange rangepartitioning") <= 1
