@@ -24,7 +24,7 @@ from gamestats.operators.filters import with_result
 from gamestats.operators.keyed import (keyed_mean, keyed_pct, keyed_ratio, mean_of,
                                        multi_keyed, pct_of)
 from gamestats.operators.ranking import sample_k, sort_by_key, top_k
-from gamestats.sources.star import games_table, ratings_from_events
+from gamestats.sources.star import games_table, rated_items_table
 
 KEY_SEPARATOR = "#"
 # The item type kept by the rating queries on the events view.
@@ -249,10 +249,11 @@ def order_columns(order: list[tuple[str, str]]) -> list[F.Column]:
 def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every catalogue query as ``(spark, sf_dir) -> DataFrame`` over the
     star-schema views.  Game queries read the measured-games table, which is
-    derived from ``orders`` + ``lineitem`` once per input and reused."""
+    derived from ``orders`` + ``lineitem`` once per input and reused; rating
+    queries read the rated items of ``events``, also written once."""
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name, q in GAME_QUERIES.items():
         out[name] = (lambda q: lambda spark, d: q(games_table(spark, d)))(q)
     for name, q in RATING_QUERIES.items():
-        out[name] = (lambda q: lambda spark, d: q(ratings_from_events(spark, d)))(q)
+        out[name] = (lambda q: lambda spark, d: q(rated_items_table(spark, d, RATED_TYPE)))(q)
     return out

@@ -166,3 +166,19 @@ def ratings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("rating"),
         F.col("event_type").alias("type"),
     )
+
+
+def rated_items_table(spark: SparkSession, sf_dir: str, item_type: str) -> DataFrame:
+    """The rated items of one type from the events view, written once (see
+    ``gamestats.sources.derived``): the rating queries then read only the kept
+    items instead of filtering the whole events table each time."""
+    import sys
+
+    from gamestats.operators import best
+    from gamestats.sources.derived import definition_fingerprint, derived_table
+
+    d = sf_dir.rstrip("/")
+    definition = definition_fingerprint(sys.modules[__name__], best)
+    return derived_table(spark, f"rated-{item_type}", [f"{d}/events.parquet"],
+                         lambda: best.rated_items(ratings_from_events(spark, d), item_type),
+                         definition)

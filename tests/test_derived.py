@@ -174,3 +174,14 @@ def test_concurrent_builder_keeps_the_first_published_table(spark, tmp_path, mon
     assert files and all("/other/" in f for f in files)
     (table,) = list((tmp_path / "ckpt" / "gamestats-tables").iterdir())
     assert [f.name for f in table.iterdir() if f.name.startswith("data-")] == []
+
+
+def test_rated_items_table_equals_filtered_view(spark):
+    from gamestats.operators.best import rated_items
+    from gamestats.sources.star import rated_items_table, ratings_from_events
+
+    t = rated_items_table(spark, SF_SMALL, "purchase")
+    v = rated_items(ratings_from_events(spark, SF_SMALL), "purchase")
+    assert t.dtypes == v.dtypes
+    assert t.exceptAll(v).count() == 0 and v.exceptAll(t).count() == 0
+    assert _location(rated_items_table(spark, SF_SMALL, "purchase")) == _location(t)
