@@ -12,11 +12,14 @@ with a similarity of 0.75 share no bucket with a probability of 5e-6.  Every
 candidate pair that can decide a component is confirmed on the full sets.
 
 Large groups: documents with equal sets are one node (combined before the
-shuffle).  Within a bucket, members are first compared with one pivot; buckets
-whose members then lie in one component are finished.  After ``PIVOT_ROUNDS``
-pivots, the members of what is left are compared across components, so no
-link that joins two components is lost and a group of near copies costs one
-comparison per member instead of all pairs.
+shuffle).  A pair's intersection is no larger than the number of shingles that
+each of its documents shares with any other candidate; documents and pairs that
+cannot reach the threshold by that count are left out, which takes away the
+distant copies of a text that share its buckets.  Within a bucket, members are
+first compared with one pivot; buckets whose members then lie in one component
+are finished.  After ``PIVOT_ROUNDS`` pivots, the members of what is left are
+compared across components, so no link that joins two components is lost and a
+group of near copies costs one comparison per member instead of all pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamestats.llm.common import components, join_keys, materialize
+from gamestats.llm.common import components, join_keys, materialize, ship_package
 from gamestats.llm.shingles import mix, shingle_sets, slices
 
 THRESHOLD = 75           # per cent: 100 * intersection >= 75 * union
@@ -110,21 +113,42 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct ordered pairs whose sizes allow the threshold."""
+    """Distinct ordered pairs whose sizes, and numbers of shared shingles,
+    allow the threshold."""
     lo, hi = F.least("p", "q"), F.greatest("p", "q")
     small, large = F.least("p.n", "q.n"), F.greatest("p.n", "q.n")
-    return (found.where((F.col("p") != F.col("q")) & (100 * small >= THRESHOLD * large))
+    both = F.least("p.shared", "q.shared")           # the intersection is no larger
+    possible = (100 + THRESHOLD) * both >= THRESHOLD * (F.col("p.n") + F.col("q.n"))
+    return (found.where((F.col("p") != F.col("q")) & (100 * small >= THRESHOLD * large) & possible)
             .select(lo.alias("p"), hi.alias("q")).distinct())
 
 
-def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The written ``(p, q)`` pairs whose full sets reach the threshold, as
-    ``(a, b)`` document ids.  Only documents in a pair are shingled again."""
-    ends = pairs.select(F.col("p.doc_id").alias("doc_id")).union(
-        pairs.select(F.col("q.doc_id").alias("doc_id"))).distinct()
-    ends = materialize(ends, "minhash-ends")
-    sets = materialize(join_keys(docs, ends, ["doc_id"]).mapInArrow(_full_sets, SETS),
-                       "minhash-sets")
+def _in_shared_buckets(rows: DataFrame) -> DataFrame:
+    """Rows (``key``, ...) whose bucket has more than one of them."""
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    return rows.join(shared, "key")
+
+
+def _supported(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members with ``shared``, the number of a node's shingles that any other
+    node has, without those that have too few for any link."""
+    each = sets.select("doc_id", "s1", F.explode("shingles").alias("x"))
+    own = (each.groupBy("x").agg(F.count(F.lit(1)).alias("c"),
+                                 F.min(F.struct("doc_id", "s1")).alias("o"))
+           .where("c = 1").groupBy("o.doc_id", "o.s1").agg(F.count(F.lit(1)).alias("own")))
+    nodes = (sets.select("doc_id", "s1", F.size("shingles").cast("long").alias("n")).distinct()
+             .join(own, ["doc_id", "s1"], "left")
+             .select("doc_id", "s1", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"), "n")
+             .where(100 * F.col("shared") >= THRESHOLD * F.col("n")).drop("n"))
+    nodes = nodes.select(F.col("doc_id").alias("d"), F.col("s1").alias("s"), "shared")
+    return members.join(nodes, (F.col("node.doc_id") == F.col("d")) & (F.col("node.s1") == F.col("s"))
+                        ).select("key", F.struct("node.doc_id", "node.s1", "node.n", "shared")
+                                 .alias("node"))
+
+
+def confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The ``(p, q)`` pairs whose full sets reach the threshold, as ``(a, b)``
+    document ids."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("s1").alias("a1"),
                        F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("s1").alias("b1"),
@@ -138,7 +162,7 @@ def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .where(100 * F.col("both") >= THRESHOLD * F.col("any")).select("a", "b"))
 
 
-def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Representatives of equal sets, and confirmed links that connect what the
     threshold connects."""
     usable = features.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -148,8 +172,14 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
     rows = reps.select(
         F.explode("bands").alias("key"),
         F.struct(F.col("rep").alias("doc_id"), "s1", F.col("n_shingles").alias("n")).alias("node"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members = materialize(rows.join(shared, "key"), "minhash-members")
+    members = materialize(_in_shared_buckets(rows), "minhash-members")
+    if members.isEmpty():
+        return reps, None
+    # the full sets of the documents in shared buckets, shingled again
+    nodes = materialize(members.select("node.doc_id").distinct(), "minhash-nodes")
+    sets = materialize(join_keys(docs, nodes, ["doc_id"]).mapInArrow(_full_sets, SETS),
+                       "minhash-sets")
+    members = materialize(_in_shared_buckets(_supported(members, sets)), "minhash-members")
 
     links = None     # confirmed so far
     tested = None    # compared so far
@@ -173,7 +203,7 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
             found = found.join(tested, ["p", "q"], "leftanti")
         found = materialize(found, "minhash-pairs")
         if not found.isEmpty():
-            new = materialize(confirm(docs, found), "minhash-links")
+            new = materialize(confirm(sets, found), "minhash-links")
             links = new if links is None else links.union(new)
             tested = found if tested is None else tested.union(found)
             label = components(links, "minhash-components")
@@ -208,6 +238,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
       with a null component and kept.
     * An empty table gives an empty result.
     """
+    ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     features = materialize(docs.mapInArrow(_features, FEATURES), "minhash-features")
     reps, links = near_links(docs, features)

@@ -17,7 +17,8 @@ SLICE_BYTES = 4 << 20
 
 _U = np.uint64
 _rng = np.random.default_rng(20240501)
-_BYTE = _rng.integers(1, 2 ** 64, 256, dtype=_U)
+BYTE = _rng.integers(1, 2 ** 64, 256, dtype=_U)
+_BYTE = BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]                       # A-Z counts as a-z
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -37,7 +38,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, at least ``n`` of them."""
     size = max(1 << 16, 1 << (n - 1).bit_length())
     if size not in _powers:
         out = []
@@ -57,7 +59,7 @@ def _word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not gap[0]:
         edge = np.concatenate(([0], edge))
     start, end = edge[0::2], edge[1::2]
-    power, inverse = _power_tables(len(buf))
+    power, inverse = power_tables(len(buf))
     run = np.zeros(len(buf) + 1, _U)
     np.cumsum(_BYTE[buf] * power[:len(buf)], out=run[1:])
     return start, mix((run[end] - run[start]) * inverse[start] + (end - start).astype(_U))
