@@ -75,7 +75,7 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     first = np.searchsorted(start, bounds)            # first word of each text
     n = len(word)
     full = np.zeros(n, _U)
-    for i in range(WORDS):
+    for i in range(min(WORDS, n)):
         full[:n - i] += word[i:] * _PLACE[i]
     full = mix(full + _U(WORDS))
     out = []

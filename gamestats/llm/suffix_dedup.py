@@ -308,9 +308,10 @@ _WINDOWS = "doc_id long, lo int, hi int"
 
 
 def _compare_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
+    at = pdf["at"].to_numpy(np.int64)
     doc, place = repeated_windows(
         list(pdf["context"]), pdf["doc_id"].to_numpy(np.int64), pdf["lo"].to_numpy(np.int64),
-        pdf["first"].to_numpy(np.int64), pdf["last"].to_numpy(np.int64))
+        np.maximum(0, at - pdf["far"].to_numpy(np.int64)), at - pdf["near"].to_numpy(np.int64))
     doc, lo, hi = _merged(doc, place, place + LENGTH)
     return pd.DataFrame({"doc_id": doc, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
 
@@ -319,31 +320,32 @@ def _compare_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _split_hot(contexts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Split the windows of keys with more than ``HOT`` contexts in halves that
-    share a longer string.  Returns contexts to sort, and the windows
-    themselves of keys that stay hot."""
-    done = []
+    share a longer string.  ``at`` is the anchor's place in the context;
+    windows begin ``near`` to ``far`` bytes before it.  Returns contexts to
+    sort, and the windows themselves of keys that stay hot."""
+    done, windows = [], None
     while True:
         hot = materialize(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
                           .where(F.col("n") > HOT).select("key"), "hot-anchors")
         if hot.isEmpty():
             done.append(contexts)
-            windows = None
             break
         done.append(contexts.join(hot, "key", "leftanti"))
         wide = contexts.join(hot, "key")
-        if wide.where(F.col("first") < F.col("last")).isEmpty():
+        if wide.where(F.col("near") < F.col("far")).isEmpty():
             windows = wide
             break
-        half = F.floor((F.col("first") + F.col("last")) / 2).cast("int")
-        halves = wide.select("doc_id", "lo", "context", "key", F.explode(F.array(
-            F.struct("first", half.alias("last")),
-            F.struct(F.least(half + 1, F.col("last")).alias("first"), "last"))).alias("x")).distinct()
-        # what all windows of the half cover
-        core = F.substring("context", F.col("x.last") + 1, F.col("x.first") + LENGTH - F.col("x.last"))
-        contexts = materialize(halves.select(
-            "doc_id", "lo", "context", F.xxhash64("key", "x.first", "x.last", core).alias("key"),
-            F.col("x.first").alias("first"), F.col("x.last").alias("last"))
-            .where(F.octet_length("context") >= F.col("first") + LENGTH), "split-contexts")
+        half = F.floor((F.col("near") + F.col("far")) / 2).cast("int")
+        ranges = F.when(F.col("near") == F.col("far"), F.array(F.struct("near", "far"))).otherwise(
+            F.array(F.struct("near", half.alias("far")), F.struct((half + 1).alias("near"), "far")))
+        halves = wide.select("doc_id", "lo", "context", "key", "at", F.explode(ranges).alias("x"))
+        near, far = F.col("x.near"), F.col("x.far")
+        some = F.greatest(near, F.col("at") + LENGTH - F.octet_length("context")) <= F.least(
+            far, F.col("at"))
+        core = F.substring("context", F.col("at") - near + 1, F.lit(LENGTH) - far + near)
+        contexts = materialize(halves.where(some).select(
+            "doc_id", "lo", "context", F.xxhash64("key", near, far, core).alias("key"), "at",
+            near.alias("near"), far.alias("far")), "split-contexts")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -372,14 +374,15 @@ def covered_bytes(docs: DataFrame) -> DataFrame:
                                            F.explode("x").alias("x"))
         .select("doc_id", "x.lo", F.substring("b", F.col("x.lo") + 1, F.col("x.hi") - F.col("x.lo"))
                 .alias("context"), F.col("x.core").alias("key"),
-                F.lit(0).alias("first"), (F.col("x.at") - F.col("x.lo")).alias("last")), "contexts")
+                (F.col("x.at") - F.col("x.lo")).alias("at"), F.lit(0).alias("near"),
+                F.lit(WINDOWS - 1).alias("far")), "contexts")
     contexts, windows = _split_hot(contexts)
     tasks = max(1, math.ceil(n / CONTEXTS))
     found = contexts.groupBy(F.pmod("key", F.lit(tasks)).alias("task")).applyInPandas(
         _compare_contexts, _WINDOWS)
     out = covered.unionByName(found)
     if windows is not None:          # one window per row, equal within a key
-        at = windows.select("key", "doc_id", (F.col("lo") + F.col("first")).alias("p"))
+        at = windows.select("key", "doc_id", (F.col("lo") + F.col("at") - F.col("near")).alias("p"))
         first = at.groupBy("key").agg(F.min(F.struct("doc_id", "p")).alias("e"))
         out = out.unionByName(at.join(first, "key").where(
             F.struct("doc_id", "p") != F.col("e"))

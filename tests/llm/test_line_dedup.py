@@ -39,7 +39,8 @@ def test_cases(documents):
     long = "L" * 60
     _check(documents, [(1, None), (2, ""), (3, "\n\n \n"), (4, "a\na\n b\nB"), (5, "a"),
                        (6, long + "\n" + "L" * 61), (7, long + "x" * 3), (8, "L" * 40),
-                       (9, "short line one\nshort line two"), (10, "z" * 100_000), (11, "z" * 99_998 + "ab")])
+                       (9, "short line one\nshort line two"), (10, "z" * 1500), (11, "z" * 1498 + "ab"),
+                       (12, "q" * 300_000)])
 
 
 def test_repeated_and_unnamed_rows(documents):
