@@ -262,8 +262,11 @@ def secret_digest(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     an empty result."""
     n_base = len(BASE_RULES)
     base = F.filter("found", lambda s: s["kind"] < n_base)
-    counts = [F.size(F.filter("found", lambda s, i=i: s["kind"] == i)).cast("long")
-              .alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)]
     return find_secrets(docs, rules).select(
         "doc_id", *counts, F.sha2(_joined(base, rules), 256).alias("base_sha256"),
         _joined(F.col("found"), rules).alias("spans"))
