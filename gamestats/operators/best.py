@@ -67,12 +67,13 @@ def best_names(df: DataFrame, key: str, rating: str, name: str) -> DataFrame:
     holds a whole group.  The last shuffle, into the merge, carries only the
     winning rows.  The summary is one row per group; AQE broadcasts it only
     when its measured size is under the broadcast threshold and keeps the
-    shuffle join otherwise.
+    shuffle join otherwise.  A NULL key is a group like any other; a group
+    without any rating has no best item and no row.
     """
     summary = summarise_group(df, key, rating).withColumnRenamed(key, "_group")
     detail = df.select(F.col(key).alias("_item_group"), F.col(rating).alias("_rating"),
                        F.col(name).alias("_name"))
-    winners = detail.join(summary, on=(F.col("_item_group") == F.col("_group"))
+    winners = detail.join(summary, on=F.col("_item_group").eqNullSafe(F.col("_group"))
                           & (F.col("_rating") == F.col("max_rating")), how="inner")
     return (winners.groupBy("_group", "max_rating", "avg_rating")
             .agg(merged("_name").alias("best_names"))

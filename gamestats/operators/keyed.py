@@ -56,14 +56,13 @@ def keyed_ratio(df: DataFrame, key: str, flag: str | Column, alias: str) -> Data
     """A5 in the reference's form: a keyed sum of the flag and a keyed count,
     inner-joined on the key (J1), then ``sum / count * 100``.
 
-    Both sides come out of their aggregation hash-partitioned on the key, so
-    the join adds no shuffle; the input is scanned once per side (each side
-    reads only the columns it needs).  ``keyed_pct`` gives the same values in
-    one aggregation.
+    A NULL key is a group like any other.  The input is scanned once per side
+    and only per-key totals are joined; ``keyed_pct`` gives the same values in
+    one scan and one aggregation.
     """
     sums = keyed_sum(df, key, _col(flag).cast("long"), "_flag_sum")
-    counts = keyed_count(df, key, "_games")
-    joined = sums.join(counts, on=key, how="inner")
+    counts = keyed_count(df, key, "_games").withColumnRenamed(key, "_key")
+    joined = sums.join(counts, on=F.col(key).eqNullSafe(F.col("_key")), how="inner")
     return joined.select(
         F.col(key),
         ((F.col("_flag_sum").cast("double") / F.col("_games").cast("double"))

@@ -32,17 +32,22 @@ RATED_TYPE = "purchase"
 SAMPLE_SEED = 1
 
 
+def _part(col: str) -> F.Column:
+    """A part of a composite key; readers give NULL for an empty field."""
+    return F.coalesce(F.col(col), F.lit("")).alias(col)
+
+
 def _label(*cols: str) -> F.Column:
-    return F.concat_ws(KEY_SEPARATOR, *[F.col(c) for c in cols])
+    return F.concat_ws(KEY_SEPARATOR, *[_part(c) for c in cols])
 
 
 def _pct_by_pair(g: DataFrame, a: str, b: str, flag: str, label: str, alias: str) -> DataFrame:
-    agg = g.groupBy(a, b).agg(pct_of(flag).alias(alias))
+    agg = g.groupBy(_part(a), _part(b)).agg(pct_of(flag).alias(alias))
     return agg.select(_label(a, b).alias(label), F.col(alias))
 
 
 def _mean_by_pair(g: DataFrame, a: str, b: str, measure: str, label: str, alias: str) -> DataFrame:
-    agg = g.groupBy(a, b).agg(mean_of(measure).alias(alias))
+    agg = g.groupBy(_part(a), _part(b)).agg(mean_of(measure).alias(alias))
     return agg.select(_label(a, b).alias(label), F.col(alias))
 
 
@@ -90,7 +95,11 @@ def white_win_pct_by_opening_top50(g: DataFrame) -> DataFrame:           # Q9
 
 
 def draw_pct_by_opening(g: DataFrame) -> DataFrame:                      # Q10
-    """The reference's two totals joined on the key (keyed_ratio)."""
+    return _pct_by_pair(g, "eco", "opening", "draw", "eco_opening", "draw_pct")
+
+
+def draw_pct_by_opening_joined(g: DataFrame) -> DataFrame:               # Q10, A5 + J1
+    """The same from two totals joined on the key, the reference's form."""
     return keyed_ratio(g.withColumn("eco_opening", _label("eco", "opening")),
                        "eco_opening", "draw", "draw_pct")
 
@@ -134,7 +143,7 @@ def white_wins_by_opening_event(g: DataFrame) -> DataFrame:              # Q16,
     """The draft's own steps: keep the games white won (F2), then aggregate per
     opening#event; the count is the aggregate that is defined on those rows.
     The filter reaches the Parquet scan of the games table."""
-    wins = with_result(g, WHITE_WINS).groupBy("opening", "event").agg(
+    wins = with_result(g, WHITE_WINS).groupBy(_part("opening"), _part("event")).agg(
         F.count(F.lit(1)).alias("white_wins"))
     return wins.select(_label("opening", "event").alias("opening_event"), "white_wins")
 
@@ -198,6 +207,7 @@ GAME_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "draw_pct_by_opening_top50": draw_pct_by_opening_top50,
     "white_win_pct_by_opening_top50": white_win_pct_by_opening_top50,
     "draw_pct_by_opening": draw_pct_by_opening,
+    "draw_pct_by_opening_joined": draw_pct_by_opening_joined,
     "castling_pct_by_elo_top10": castling_pct_by_elo_top10,
     "castling_pct_by_elo_top10_text": lambda g: castling_pct_by_elo_top10(g, "elo_band_text"),
     "castling_pct_by_elo_top10_dash": lambda g: castling_pct_by_elo_top10(g, flag="castled_dash"),

@@ -9,9 +9,16 @@ match checks the additivity argument as well as the queries.
 
 from __future__ import annotations
 
-from gamestats.functions.bands import BAND_EDGES, BAND_NAMES
-from gamestats.operators.best import MEAN_DIGITS, NAME_SEPARATOR
-from gamestats.plans.catalog import GROUPING_SETS, RATED_TYPE, SAMPLE_SEED
+# Written out here, not imported, so that a change of the Spark code shows.
+BAND_EDGES = (1200, 1400, 1600, 1800, 2000, 2200, 2300, 2400, 2500, 2700)
+BAND_NAMES = ("novice", "class D", "class C", "class B", "class A", "CM",
+              "CM-NM", "FM-IM", "IM-GM", "GM", "SGM")
+MEAN_DIGITS = 9
+NAME_SEPARATOR = " | "
+RATED_TYPE = "purchase"
+SAMPLE_SEED = 1
+GROUPING_SETS = {"event": ("event",), "elo_band": ("elo_band",), "moves": ("moves",),
+                 "opening_event": ("opening", "event")}
 
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
 
@@ -112,8 +119,8 @@ def _band_keyed(band: str, agg: str, alias: str, order_limit: str = "") -> str:
 
 
 def _pair(a: str, b: str, agg: str, label: str, alias: str, order_limit: str = "") -> str:
-    return _games(f"SELECT concat_ws('#', {a}, {b}) AS {label}, {agg} AS {alias} "
-                  f"FROM games GROUP BY {a}, {b} {order_limit}")
+    return _games(f"SELECT coalesce({a}, '') || '#' || coalesce({b}, '') AS {label}, {agg} AS {alias} "
+                  f"FROM games GROUP BY coalesce({a}, ''), coalesce({b}, '') {order_limit}")
 
 
 def _top(value: str, key: str, k: int) -> str:
@@ -165,6 +172,10 @@ def oracle_sql() -> dict[str, str]:
             "eco", "opening", _pct("white_win"), "eco_opening", "white_win_pct",
             _top("white_win_pct", "eco_opening", 50)),
         "draw_pct_by_opening": _pair("eco", "opening", _pct("draw"), "eco_opening", "draw_pct"),
+        "draw_pct_by_opening_joined": _games(
+            "SELECT eco_opening, CAST(sum(draw) AS DOUBLE) / count(*) * CAST(100 AS DOUBLE) "
+            "AS draw_pct FROM (SELECT coalesce(eco, '') || '#' || coalesce(opening, '') "
+            "AS eco_opening, draw FROM games) GROUP BY eco_opening"),
         "castling_pct_by_elo_top10": _band_keyed(
             "elo_band", _pct("castled"), "castling_pct", _top("castling_pct", "elo_band", 10)),
         "castling_pct_by_elo_top10_text": _band_keyed(
@@ -187,8 +198,9 @@ def oracle_sql() -> dict[str, str]:
         "white_win_share_by_opening_event": _pair(
             "opening", "event", _mean("white_win"), "opening_event", "white_win_share"),
         "white_wins_by_opening_event": _games(
-            "SELECT concat_ws('#', opening, event) AS opening_event, count(*) AS white_wins "
-            "FROM games WHERE result = '1-0' GROUP BY opening, event"),
+            "SELECT coalesce(opening, '') || '#' || coalesce(event, '') AS opening_event, "
+            "count(*) AS white_wins FROM games WHERE result = '1-0' "
+            "GROUP BY coalesce(opening, ''), coalesce(event, '')"),
         "game_stats_grouping_sets": _grouping_sets_sql(),
         "black_win_pct_by_opening": _pair("eco", "opening", _pct("black_win"), "eco_opening",
                                           "black_win_pct"),

@@ -76,15 +76,15 @@ def read_games_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_ratings_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated ratings with no quoting.  Returns
     ``(series, episode, rating, type)``; series is the three id parts joined by
-    ``#``; the rating is NULL where the text is not a number (a header line)."""
-    raw = (spark.read.schema(RATINGS_SCHEMA)
-           .option("sep", "\t")
-           .option("quote", "")
-           .option("header", False)
-           .option("mode", "PERMISSIVE")
-           .csv(path))
+    ``#``, empty parts included; an empty episode name is an empty text, a
+    field that the line doesn't have is NULL (in the series: empty); the rating
+    is NULL where the text is not a number (a header line)."""
+    fields = F.split(F.col("value"), "\t")
+    raw = spark.read.text(path).select(
+        *[F.get(fields, F.lit(i)).alias(f.name) for i, f in enumerate(RATINGS_SCHEMA.fields)])
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("series_a", "series_b", "series_c")]
     return raw.select(
-        F.concat_ws("#", "series_a", "series_b", "series_c").alias("series"),
+        F.concat_ws("#", *parts).alias("series"),
         F.col("episode"),
         F.col("rating_text").try_cast("double").alias("rating"),
         F.col("type"),

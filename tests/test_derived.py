@@ -26,7 +26,7 @@ def test_table_is_reused_and_follows_its_inputs(spark, tmp_path):
     src = tmp_path / "sf"
     src.mkdir()
     for name in ("orders", "lineitem"):
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", src / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", src / f"{name}.parquet")
     first = games_table(spark, str(src))
     again = games_table(spark, str(src))
     assert _location(first) == _location(again)
@@ -36,7 +36,7 @@ def test_table_is_reused_and_follows_its_inputs(spark, tmp_path):
     orders = spark.read.parquet(str(src / "orders.parquet")).where("o_orderkey % 2 = 0")
     orders.coalesce(1).write.parquet(str(tmp_path / "orders_half"))
     part = [p for p in (tmp_path / "orders_half").iterdir() if p.name.endswith(".parquet")][0]
-    shutil.copy(part, src / "orders.parquet")
+    shutil.copyfile(part, src / "orders.parquet")
     changed = games_table(spark, str(src))
     assert _location(changed) != _location(first)
     assert changed.count() == spark.read.parquet(str(src / "orders.parquet")).count() < n
@@ -48,7 +48,7 @@ def test_table_removed_is_rebuilt(spark, tmp_path):
     src = tmp_path / "sf"
     src.mkdir()
     for name in ("orders", "lineitem"):
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", src / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", src / f"{name}.parquet")
     first = games_table(spark, str(src))
     n = first.count()
     (folder,) = _location(first)
@@ -141,13 +141,13 @@ def test_glob_inputs_are_fingerprinted(spark, tmp_path):
     import os
 
     from conftest import FIXTURES
-    shutil.copy(os.path.join(FIXTURES, "games.csv"), src / "a.csv")
+    shutil.copyfile(os.path.join(FIXTURES, "games.csv"), src / "a.csv")
     glob = str(src / "*.csv")
     before = input_fingerprint(spark, [glob])
     assert "a.csv" in before
     t = measured_games_table(spark, glob)
     assert t.count() == 7
-    shutil.copy(os.path.join(FIXTURES, "games.csv"), src / "b.csv")
+    shutil.copyfile(os.path.join(FIXTURES, "games.csv"), src / "b.csv")
     assert input_fingerprint(spark, [glob]) != before
     assert measured_games_table(spark, glob).count() == 14
 
@@ -185,3 +185,49 @@ def test_rated_items_table_equals_filtered_view(spark):
     assert t.dtypes == v.dtypes
     assert t.exceptAll(v).count() == 0 and v.exceptAll(t).count() == 0
     assert _location(rated_items_table(spark, SF_SMALL, "purchase")) == _location(t)
+
+
+def test_nested_file_rewritten_with_equal_length_is_seen(spark, tmp_path):
+    import os
+
+    from gamestats.sources.derived import input_fingerprint
+
+    nested = tmp_path / "in" / "day=1"
+    nested.mkdir(parents=True)
+    (nested / "a.csv").write_text("1-0")
+    before = input_fingerprint(spark, [str(tmp_path / "in")])
+    assert input_fingerprint(spark, [str(tmp_path / "in")]) == before
+    (nested / "a.csv").write_text("0-1")
+    os.utime(nested / "a.csv", (1, 1))
+    assert input_fingerprint(spark, [str(tmp_path / "in")]) != before
+
+
+def test_error_of_a_build_is_raised_once(spark, tmp_path, monkeypatch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from gamestats.sources import derived
+
+    monkeypatch.setattr(derived, "ensure_checkpoint_dir", lambda s: str(tmp_path / "ckpt"))
+    builds = []
+
+    def build():
+        builds.append(1)
+        return spark.range(3).select(F.raise_error(F.lit("bad row")).cast("string").alias("x"))
+
+    with pytest.raises(Exception, match="bad row"):
+        derived.derived_table(spark, "failing", [f"{SF_SMALL}/orders.parquet"], build, "v1")
+    assert len(builds) == 1
+
+
+def test_table_without_success_marker_is_reused(spark, tmp_path, monkeypatch):
+    from gamestats.sources import derived
+
+    monkeypatch.setattr(derived, "ensure_checkpoint_dir", lambda s: str(tmp_path / "ckpt"))
+    orders = f"{SF_SMALL}/orders.parquet"
+    build = lambda: spark.read.parquet(orders)
+    first = _location(derived.derived_table(spark, "unmarked", [orders], build, "v1"))
+    for marker in (tmp_path / "ckpt").rglob("_SUCCESS"):
+        marker.unlink()
+    derived._readers.clear()
+    assert _location(derived.derived_table(spark, "unmarked", [orders], build, "v1")) == first

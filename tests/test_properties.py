@@ -112,9 +112,8 @@ def test_keyed_operators_match_python(spark, rows):
     got_mean = {r["k"]: r["m"] for r in keyed_mean(df, "k", "v", "m").collect()}
     got_pct = {r["k"]: r["p"] for r in keyed_pct(df, "k", "flag", "p").collect()}
     assert got_mean == mean and got_pct == pct
-    ratio = keyed_ratio(df.where(F.col("k").isNotNull()), "k", "flag", "p")
-    assert {r["k"]: r["p"] for r in ratio.collect()} == {k: p for k, p in pct.items()
-                                                          if k is not None}
+    ratio = keyed_ratio(df, "k", "flag", "p")
+    assert {r["k"]: r["p"] for r in ratio.collect()} == pct
 
     ranked = sorted(mean.items(), key=lambda kv: (-kv[1], kv[0] is None, kv[0] or ""))[:2]
     got_top = [(r["k"], r["m"]) for r in top_k(keyed_mean(df, "k", "v", "m"), "m", 2, "k")
@@ -127,9 +126,6 @@ def test_keyed_operators_match_python(spark, rows):
 def test_best_and_all_names_match_python(spark, rows):
     from gamestats.operators.best import all_names, best_names
 
-    rows = [(k, v, n) for k, v, n in rows if k is not None]
-    if not rows:
-        return
     df = spark.createDataFrame(rows, "k string, v double, n string")
     groups = {}
     for k, v, n in rows:

@@ -108,3 +108,25 @@ def test_parquet_games_path(spark, tmp_path, games_csv):
     got = {r["event"]: r["avg_moves"] for r in spark.table("moves_parquet_stream").collect()}
     want = {r["event"]: r["avg_moves"] for r in C.avg_moves_by_event(games_csv).collect()}
     assert got == pytest.approx(want)
+
+
+def test_empty_key_parts_and_names_are_kept(spark, tmp_path):
+    from gamestats.operators import measure_games
+    from gamestats.operators.best import all_names, rated_items
+    from gamestats.plans import catalog as C
+    from gamestats.sources import read_games_csv, read_ratings_tsv
+
+    lines = ["t\tu\t5.0\tx\t\ty\tTV_SERIES\tE1", "t\tu\t6.0\tx\ty\t\tTV_SERIES\tE2",
+             "t\tu\t7.0\tz\tz\tz\tTV_SERIES\t", "t\tu\t8.0\tw\tw\tw\tTV_SERIES\tnull"]
+    (tmp_path / "r.tsv").write_text("\n".join(lines) + "\n")
+    items = rated_items(read_ratings_tsv(spark, str(tmp_path / "r.tsv")))
+    got = {r["series"]: r["names"] for r in all_names(items, "series", "rating", "episode").collect()}
+    assert got == {"x##y": "E1", "x#y#": "E2", "z#z#z": ""}
+
+    head = "id,event,white,black,result,white_elo,black_elo,eco,opening,time_control,termination,an"
+    rows = ["1,E,a,b,1/2-1/2,1500,1500,,B20,60,Normal,1. e4", "2,E,a,b,1-0,1500,1500,B20,,60,Normal,1. e4"]
+    (tmp_path / "g.csv").write_text("\n".join([head, *rows]) + "\n")
+    games = measure_games(read_games_csv(spark, str(tmp_path / "g.csv")))
+    for query in (C.draw_pct_by_opening_top50, C.draw_pct_by_opening, C.draw_pct_by_opening_joined):
+        assert {r["eco_opening"]: r["draw_pct"] for r in query(games).collect()} == {
+            "#B20": 100.0, "B20#": 0.0}

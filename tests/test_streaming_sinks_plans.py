@@ -110,7 +110,7 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == E.entry(spark).columns
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_result_filter_pushed_to_games_table_scan(spark):
@@ -150,7 +150,7 @@ def test_stream_to_parquet_keeps_the_complete_result(spark, tmp_path, games_csv)
     assert got == pytest.approx(want)
 
 
-JOIN_QUERIES = {"draw_pct_by_opening", "series_best_names"}
+JOIN_QUERIES = {"draw_pct_by_opening_joined", "series_best_names"}
 
 
 @pytest.mark.parametrize("name", sorted(C.star_queries()))
