@@ -104,7 +104,10 @@ def banded_distance(pattern: Column, m: Column, text: Column, n: Column, thresho
     Bit ``k`` of a vector is the diagonal band's cell ``k`` in the column of a
     text byte: vertical differences +1 and -1 (``vp``, ``vn``) go from column to
     column.  The cell at the top of the band is followed down the diagonal to
-    the last row, and then along that row.
+    the last row, and then along that row.  Neighbouring cells differ by at most
+    one, so once that cell is more than ``threshold + width`` no cell of the
+    band can lead back to ``threshold``, and the remaining columns are passed
+    over.
     """
     width = 2 * threshold + 2
     mask, diagonal = (1 << width) - 1, 1 << (width - 1)
@@ -149,7 +152,7 @@ def banded_distance(pattern: Column, m: Column, text: Column, n: Column, thresho
 
             return _let(d0, after)
 
-        return _let(match, column)
+        return F.when(s["d"] > threshold + width, s).otherwise(_let(match, column))
 
     columns = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(columns, start, step, lambda s: s["d"])
