@@ -186,10 +186,11 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _level(points: np.ndarray, most: int) -> np.ndarray:
     """The finest level of the sample's cover tree with at most ``most``
-    centres."""
+    centres.  Components are integers, so below a radius of 1 every distinct
+    point is a centre and no level is finer."""
     radius = float(_far(points, points[0]).max())
     best = points[:1]
-    while radius > 0 and len(best) < most:
+    while radius >= 0.5 and len(best) < most:
         net = cover(points, radius, most)
         if net is None:
             break
