@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from brute import edit_distance, removed_lines
+from llm.brute import edit_distance, removed_lines
 from pyspark.sql import functions as F
 
 from gamestats.llm.line_dedup import line_dedup, within

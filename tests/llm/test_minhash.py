@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from brute import near_components
+from llm.brute import near_components
 
 from gamestats.llm.minhash import BANDS, ROWS, band_keys, near_dedup, signature
 from gamestats.llm.shingles import shingle_sets

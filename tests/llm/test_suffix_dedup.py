@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import repeated_bytes
+from llm.brute import repeated_bytes
 
 from gamestats.llm import suffix_dedup as S
 
