@@ -23,6 +23,7 @@ from gamestats.llm.common import BROADCAST_ROWS, join_keys, materialize
 THRESHOLD = 2        # byte edits
 LEAST_BYTES = 40     # shorter lines are only compared for equality
 LAST = (1 << 63) - 1  # stands for a null doc_id, behind all others
+ENDS = 64            # bytes at either end that are compared before whole lines
 
 
 def _segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
@@ -91,11 +92,6 @@ def _common(a: Column, b: Column, most: Column) -> Column:
     return F.aggregate(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), F.lit(0), step)
 
 
-def _bytes(b: Column) -> Column:
-    """The bytes of a binary as an array of one-character texts."""
-    return F.split(F.decode(b, "ISO-8859-1"), "")
-
-
 def banded_distance(pattern: Column, m: Column, text: Column, n: Column, threshold: int) -> Column:
     """Edit distance of two byte arrays of lengths ``m`` and ``n``, exact up to
     ``threshold`` and larger than it otherwise.  Needs ``m > threshold`` and
@@ -158,9 +154,30 @@ def banded_distance(pattern: Column, m: Column, text: Column, n: Column, thresho
     return F.aggregate(columns, start, step, lambda s: s["d"])
 
 
+def _ends_differ(x: Column, y: Column, m: Column, n: Column, threshold: int) -> Column:
+    """Whether the ends alone show that two texts of ``m`` and ``n`` characters
+    are more than ``threshold`` edits apart: within it, the first (or last)
+    ``ENDS`` characters of one are within it of the first ``j`` of the other,
+    for some ``j`` that is at most ``threshold`` away from ``ENDS``."""
+    def none(head, other) -> Column:
+        tests = [F.levenshtein(head, other(ENDS + move), threshold) < 0
+                 for move in range(-threshold, threshold + 1)]
+        out = tests[0]
+        for t in tests[1:]:
+            out = out & t
+        return out
+
+    def last(text: Column, size: Column, k: int) -> Column:
+        return F.substring(text, F.greatest(size - k, F.lit(0)) + 1, F.lit(k))
+
+    return (none(F.substring(x, 1, ENDS), lambda k: F.substring(y, 1, k))
+            | none(last(x, m, ENDS), lambda k: last(y, n, k)))
+
+
 def within(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
     """Whether two binaries are within ``threshold`` edits.  Equal ends don't
-    change the distance and are left out, but for ``threshold + 1`` bytes."""
+    change the distance and are left out, but for ``threshold + 1`` bytes.
+    Most pairs further apart then show it at the ends of what is left."""
     na, nb = F.octet_length(a), F.octet_length(b)
 
     def middle(p: Column) -> Column:
@@ -171,9 +188,17 @@ def within(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
         def judge(r: Column) -> Column:
             x, y, m, n = r["x"], r["y"], r["m"], r["n"]
             tail = _common(x, y, F.least(m, n) - F.least(F.least(m, n), F.lit(threshold + 1)))
-            rest_x = _bytes(F.substring(x, tail + 1, m))
-            rest_y = _bytes(F.substring(y, tail + 1, n))
-            return banded_distance(rest_x, m - tail, rest_y, n - tail, threshold) <= threshold
+            return _let(F.struct(
+                F.decode(F.substring(x, tail + 1, m), "ISO-8859-1").alias("x"), (m - tail).alias("m"),
+                F.decode(F.substring(y, tail + 1, n), "ISO-8859-1").alias("y"), (n - tail).alias("n")),
+                rest)
+
+        def rest(r: Column) -> Column:
+            x, y, m, n = r["x"], r["y"], r["m"], r["n"]
+            # the arrays are bound once: in the recurrence they are read per byte
+            banded = _let(F.struct(F.split(x, "").alias("x"), F.split(y, "").alias("y")),
+                          lambda c: banded_distance(c["x"], m, c["y"], n, threshold) <= threshold)
+            return F.when(_ends_differ(x, y, m, n, threshold), F.lit(False)).otherwise(banded)
 
         return _let(F.struct(F.encode(ra, "ISO-8859-1").alias("x"),
                              F.encode(rb, "ISO-8859-1").alias("y"),
