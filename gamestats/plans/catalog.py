@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamestats.functions.measures import WHITE_WINS
+from gamestats.functions.measures import WHITE_WINS, captures, castled, checks, moves
 from gamestats.operators.best import all_names, best_names, rated_items, summarise_group
 from gamestats.operators.filters import with_result
 from gamestats.operators.keyed import (keyed_mean, keyed_pct, keyed_ratio, mean_of,
@@ -195,6 +195,16 @@ def series_best_names(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:
     return best_names(rated_items(r, item_type), "series", "rating", "episode")
 
 
+def text_measures_by_lang(docs: DataFrame) -> DataFrame:
+    """The move-text measures on any texts (``lang``, ``text``): totals per
+    language, the move count and the castling flag in both their forms."""
+    found = {"dots": moves("text"), "numbered": moves("text", "numbered"),
+             "captures": captures("text"), "checks": checks("text"),
+             "castled": castled("text"), "castled_dash": castled("text", "dash")}
+    return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"),
+                                    *[F.sum(c).alias(n) for n, c in found.items()])
+
+
 GAME_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "avg_moves_by_event": avg_moves_by_event,
     "avg_captures_by_event": avg_captures_by_event,
@@ -260,10 +270,13 @@ def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every catalogue query as ``(spark, sf_dir) -> DataFrame`` over the
     star-schema views.  Game queries read the measured-games table, which is
     derived from ``orders`` + ``lineitem`` once per input and reused; rating
-    queries read the rated items of ``events``, also written once."""
+    queries read the rated items of ``events``, also written once; the text
+    measures read ``documents``."""
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name, q in GAME_QUERIES.items():
         out[name] = (lambda q: lambda spark, d: q(games_table(spark, d)))(q)
     for name, q in RATING_QUERIES.items():
         out[name] = (lambda q: lambda spark, d: q(rated_items_table(spark, d, RATED_TYPE)))(q)
+    out["text_measures_by_lang"] = lambda spark, d: text_measures_by_lang(
+        spark.read.parquet(f"{d.rstrip('/')}/documents.parquet"))
     return out

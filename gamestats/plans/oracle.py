@@ -218,4 +218,16 @@ def oracle_sql() -> dict[str, str]:
 SELECT series, string_agg(episode, '{NAME_SEPARATOR}' ORDER BY episode) AS best_names,
        max(top) AS max_rating, max(avg_rating) AS avg_rating
 FROM ranked WHERE rating = top GROUP BY series"""),
+        "text_measures_by_lang": f"""
+WITH t AS (SELECT lang, coalesce(text, '') AS an FROM documents)
+SELECT lang, count(*) AS texts,
+       CAST(sum({_count('an', '.')}) AS BIGINT) AS dots,
+       CAST(sum(len(regexp_extract_all(regexp_replace(an, '\\{{[^}}]*\\}}', '', 'g'),
+                                       '[0-9]+\\. '))) AS BIGINT) AS numbered,
+       CAST(sum({_count('an', 'x')}) AS BIGINT) AS captures,
+       CAST(sum({_count('an', '+')} - CASE WHEN contains(an, '++') THEN 1 ELSE 0 END) AS BIGINT)
+         AS checks,
+       CAST(sum(CASE WHEN contains(an, 'O-O') THEN 1 ELSE 0 END) AS BIGINT) AS castled,
+       CAST(sum(CASE WHEN contains(an, '-') THEN 1 ELSE 0 END) AS BIGINT) AS castled_dash
+FROM t GROUP BY lang""",
     }
