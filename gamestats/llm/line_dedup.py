@@ -230,8 +230,8 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD,
     texts = materialize(
         join_keys(docs, ends, ["ord"], "inner")
         .select("ord", F.split("text", "\n", -1).alias("all"), F.explode("places").alias("pos"))
-        .select(F.struct("ord", "pos").alias("id"), F.get("all", F.col("pos")).alias("line")),
-        "line-texts")
+        .select(F.struct("ord", "pos").alias("id"), F.get("all", F.col("pos")).alias("line"))
+        .groupBy("id").agg(F.any_value("line").alias("line")), "line-texts")
     a = texts.select(F.col("id").alias("r"), F.col("line").cast("binary").alias("a"))
     b = texts.select(F.col("id").alias("s"), F.col("line").cast("binary").alias("b"))
     later = (pairs.join(a, "r").join(b, "s").where(within(F.col("a"), F.col("b"), threshold))
@@ -248,6 +248,14 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD,
         F.col("near") | (F.struct("ord", "pos") != F.col("id"))).select("ord", "pos", "near")
 
 
+def _identity(docs: DataFrame) -> Column:
+    """What tells a row from the others: its place in the order, then 128 bits
+    that stand for all its columns."""
+    row = [F.col(c) for c in docs.columns]
+    return F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("n"),
+                    F.xxhash64(*row).alias("h1"), F.xxhash64(*row, F.lit(1)).alias("h2"))
+
+
 def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_BYTES) -> DataFrame:
     """``docs`` (``doc_id``, ``text`` and any other columns) without the lines
     that repeat earlier ones: all columns, with ``text`` reduced, and
@@ -260,12 +268,16 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_B
 
     * A null or empty text has no line to remove and stays as it is; lines
       without visible characters stay too.
-    * Rows with a null ``doc_id`` come last and are judged alike.  Rows that
-      repeat a ``doc_id`` are judged alike: a line at the place of its first
-      occurrence stays in each of them.
+    * Every row is a document of its own.  Those with a null ``doc_id`` come
+      last; they, and different rows that share a ``doc_id``, follow each other
+      by a hash of all columns.
+    * Rows that have a ``doc_id`` and are equal in all columns are one document
+      read several times: a line at the place of its first occurrence stays in
+      each of them.  Equal rows without a ``doc_id`` are several documents: the
+      lines of all but one are repetitions.
     * An empty table gives an empty result.
     """
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    order = _identity(docs)
     gone = materialize(
         removed_lines(docs.select(order.alias("ord"), F.col("text")), threshold, least)
         .groupBy("ord").agg(F.collect_set("pos").alias("_gone"),
@@ -273,14 +285,30 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_B
         "removed-lines")
     if (gone.agg(F.sum(F.size("_gone"))).first()[0] or 0) <= 4 * BROADCAST_ROWS:
         gone = F.broadcast(gone)
+    equal = materialize(docs.where(F.col("doc_id").isNull()).groupBy(order.alias("ord"))
+                        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1), "equal-rows")
     # the input's columns travel as one, so their names clash with nothing here
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
                        order.alias("ord"), F.split("text", "\n", -1).alias("_lines"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    copy = F.lit(0).cast("long").alias("_copy")
+    if equal.isEmpty():
+        rows = rows.select("*", copy)
+    else:
+        several = join_keys(rows, equal, ["ord"], "inner").groupBy("ord").agg(
+            F.any_value("_row").alias("_row"), F.any_value("_lines").alias("_lines"),
+            F.any_value("_n").alias("_n"))
+        rows = join_keys(rows, equal, ["ord"], "leftanti").select("_row", "ord", "_lines", copy).union(
+            several.select("_row", "ord", "_lines",
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))))
+    places = F.sequence(F.lit(0), F.size("_lines") - 1)
+    again = F.filter(places, lambda i: F.get(F.col("_lines"), i).rlike(r"\S"))
+    rows = rows.join(gone, "ord", "left").withColumn(
+        "_gone", F.when(F.col("_copy") > 0, again).otherwise(F.col("_gone")))
+    kept = F.array_except(places, F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n"))
     counts = {"n_lines": "_lines", "n_removed": "_gone", "n_near": "_near"}
-    joined = rows.join(gone, "ord", "left").select(
+    joined = rows.select(
         "_row", text.alias("_text"),
         *[F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long").alias(f"_{n}")
           for n, c in counts.items()])

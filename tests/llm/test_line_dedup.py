@@ -49,6 +49,35 @@ def test_repeated_and_unnamed_rows(documents):
     assert got == [("1", "a b\nc"), ("1", "a b\nc"), ("2", "e"), ("None", "d")]
 
 
+def test_rows_without_id_are_several_documents(documents):
+    got = sorted((str(r.doc_id), r.text, r.n_removed) for r in line_dedup(documents(
+        [(None, "x1\ny1"), (None, "z1\ny2"), (1, "x1"), (None, "w1\ny3")])).collect())
+    assert got == [("1", "x1", 0), ("None", "w1\ny3", 0), ("None", "y1", 1), ("None", "z1\ny2", 0)]
+    got = [r.text for r in line_dedup(documents([(None, "same\none"), (None, "same\ntwo")])).collect()]
+    assert sorted("\n".join(got).split("\n")) == ["one", "same", "two"]
+
+
+def test_equal_rows_without_id(documents):
+    got = sorted((r.text, r.n_lines, r.n_removed) for r in line_dedup(documents(
+        [(None, "a\n\nb"), (None, "a\n\nb"), (None, "a\n\nb"), (None, None), (None, None), (4, "b")]))
+        .where("text is not null").collect())
+    assert got == [("", 3, 2), ("", 3, 2), ("a\n", 3, 1), ("b", 1, 0)]
+
+
+def test_repeated_id_with_different_texts(documents):
+    got = sorted(r.text for r in line_dedup(documents(
+        [(0, "x"), (1, "x\nk\np"), (1, "q\nr"), (1, "s\nm\np")])).collect())
+    assert sorted("\n".join(got).split("\n")) == ["k", "m", "p", "q", "r", "s", "x"]
+    assert "q\nr" in got
+
+
+def test_near_line_at_the_same_place(documents):
+    near, other = "n" * 50 + "abc", "an unrelated line of more than forty bytes, all told"
+    got = sorted(r.text for r in line_dedup(documents(
+        [(1, "n" * 50 + "abd"), (None, near), (None, other)])).collect())
+    assert got == sorted(["n" * 50 + "abd", "", other])
+
+
 def test_keeps_other_columns(documents):
     df = documents([(1, "a"), (2, "a")])
     out = line_dedup(df)
