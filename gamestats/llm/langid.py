@@ -33,6 +33,8 @@ RATE = 0.02
 AT_ONCE = 2048             # windows in a prediction step
 UNKNOWN = "und"
 HELD_OUT, FOLDS = 1, 3     # crc32 of the id modulo FOLDS: never learned from
+LEAST_JUDGED = 256         # bytes; shorter texts are never rejected by their score
+LEAD = 0.15                # least share of the way from chance to certainty
 _PAD = 0
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -271,17 +273,32 @@ def identify(docs: DataFrame) -> DataFrame:
         .mapInArrow(_predict(net), PREDICTED)
 
 
+def told(net: Network, n_bytes: int, score: float) -> bool:
+    """Whether the pooled score tells the language of a text: it is at least
+    ``LEAD`` of the way from chance (a share of ``1 / languages`` each) to 1.
+    Texts under ``LEAST_JUDGED`` bytes have too few positions to be judged."""
+    chance = 1 / len(net.languages)
+    return n_bytes < LEAST_JUDGED or chance == 1 or score >= chance + LEAD * (1 - chance)
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is not ``und``."""
+    """The rows of ``docs``, all columns, that have a letter and a language
+    that can be told (``told``): a long text of which no language holds clearly
+    more than its chance share goes.  When there was nothing to learn from,
+    all rows with a letter stay."""
     net = fitted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(0).flatten()
             names = [f.name for f in batch.schema.field(0).type]
-            lang, _ = _labels(net, batch.column(1), rows[names.index("text")])
+            texts, keep = rows[names.index("text")], batch.column(1).to_pylist()
+            if net is not None:
+                lang, score = _labels(net, batch.column(1), texts)
+                keep = [x != UNKNOWN and told(net, len(texts[k].as_buffer()), score[k])
+                        for k, x in enumerate(lang)]
             whole = pa.RecordBatch.from_arrays(rows, names=names)
-            yield whole.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+            yield whole.filter(pa.array(keep, pa.bool_()))
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),

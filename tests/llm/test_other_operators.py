@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gamestats.llm.covertree import top_k_search
-from gamestats.llm.langid import identify
+from gamestats.llm.langid import identify, keep_identified
 from gamestats.llm.mixing import mix
 from gamestats.llm.packing import best_fit_packing, default_tokenizer
 from gamestats.llm.warc import round_trip
@@ -93,6 +93,26 @@ def test_warc(spark):
     assert round_trip(df.where("false")).count() == 0
 
 
+def test_language_rejection(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lettered = docs.where(r"text rlike '\\p{L}'").count()
+    rows = docs.where("lang is not null and length(text) > 1500").select("lang", "text").collect()
+    by_lang = {r["lang"]: r["text"][:1500] for r in sorted(rows)}
+    assert len(by_lang) > 2
+    even = "\n".join(t[k:k + 300] for k in range(0, 1500, 300) for t in by_lang.values())
+    odd = [(-1, even, None), (-2, "12 34", None), (-3, "Hi", None)]
+    more = spark.createDataFrame(odd, "doc_id long, text string, lang string").unionByName(
+        docs.select("doc_id", "text", "lang"))
+    kept = {r["doc_id"] for r in keep_identified(more).select("doc_id").collect()}
+    assert len([i for i in kept if i >= 0]) == lettered      # clean documents stay
+    assert {i for i in kept if i < 0} == {-3}
+
+
+def test_language_without_labels(documents):
+    rows = [(2, "some words", None), (3, "12 34", None), (4, None, None), (None, "b", None)]
+    assert sorted(r["text"] for r in keep_identified(documents(rows)).collect()) == ["b", "some words"]
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
