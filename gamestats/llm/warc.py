@@ -32,6 +32,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 3000
 LEAST_REVISIT_BYTES = 0
+EQUAL_ROWS = 1000     # written by a task at a time
 _PIECE = 1 << 20
 
 RECORDS = ("record_id string, record_type string, concurrent_to string, refers_to string, "
@@ -67,6 +68,30 @@ def _record(kind: Column, ident: Column, block: Column, headers: dict[str, Colum
     return F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
 
 
+def _page_record(kind: str, page_id: Column, key: Column, url: Column, number: Column) -> Column:
+    return record_id(F.lit(kind), page_id, key, number, url.isNull(), url)
+
+
+def _numbered(page: DataFrame, shared: DataFrame) -> DataFrame:
+    """``page`` with the ``number`` (from 1) of each row among the rows that are
+    equal to it; ``shared`` has the payloads of several rows, and as ``most``
+    the largest number of equal rows."""
+    one = page.withColumn("number", F.lit(1).cast("long"))
+    keys = materialize(shared.where("most > 1").select("key"), "equal-pages")
+    if keys.isEmpty():
+        return one
+    equal = (join_keys(page, keys, ["key"]).groupBy("key", "page_id", "url")
+             .agg(F.any_value("html").alias("html"), F.any_value("n").alias("n"),
+                  F.count(F.lit(1)).alias("rows"))
+             # many equal rows are made in several tasks
+             .withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"),
+                                                      F.lit(EQUAL_ROWS).cast("long"))))
+             .repartition("key", "page_id", "url", "from")
+             .withColumn("number", F.explode(F.sequence(
+                 "from", F.least(F.col("rows"), F.col("from") + EQUAL_ROWS - 1)))))
+    return join_keys(one, keys, ["key"], "leftanti").unionByName(equal.drop("rows", "from"))
+
+
 def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISIT_BYTES,
                    records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write ``pages`` (``page_id``, ``url``, ``html``; other columns are
@@ -77,22 +102,37 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISIT_BYTES
     html is the empty payload.  Line ends in a url are percent-encoded; a null
     url gives records without a target.  A null ``page_id`` counts as larger
     than all others.
+
+    Every row is a transaction of its own: identifiers depend on ``page_id``,
+    payload, url and the row's number among those equal in all three.  Rows
+    that share the smallest ``page_id`` of a payload are all responses, and the
+    one with the smallest url is revisited.
     """
     page = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")).alias("url"),
         F.coalesce("html", F.lit("")).alias("html"))
     page = page.withColumn("key", F.sha2("html", 256)).withColumn("n", F.octet_length("html"))
+    least_page = F.struct(F.col("page_id").isNull().alias("none"), "page_id",
+                          F.col("url").isNull().alias("no_url"), "url")
     shared = materialize(
-        page.where(F.col("n") >= least).groupBy("key")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("pages"))
-        .where("pages > 1").select("key", "first", F.lit(True).alias("repeats")), "payloads")
-    page = join_keys(page, shared, ["key"], "left")
-    revisit = F.coalesce("repeats", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first"))
+        page.groupBy("key", "page_id", "url")
+        .agg(F.count(F.lit(1)).alias("rows"), F.any_value("n").alias("n"))
+        .groupBy("key")
+        .agg(F.min(least_page).alias("first"), F.sum("rows").alias("pages"),
+             F.max("rows").alias("most"), (F.any_value("n") >= least).alias("repeats"))
+        .where("pages > 1").drop("pages"), "payloads")
+    page = _numbered(page, shared)
+    page = join_keys(page, shared.drop("most"), ["key"], "left")
+    revisit = F.coalesce("repeats", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
     page = page.withColumn("revisit", revisit)
 
     digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("html").cast("binary")))
-    main = record_id(F.lit("main"), F.col("page_id"), F.col("key"))
+
+    def ident(kind: str) -> Column:
+        return _page_record(kind, F.col("page_id"), F.col("key"), F.col("url"), F.col("number"))
+
+    main = ident("main")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
                           "Content-Length: "), F.col("n").cast("string"), F.lit(END))
     uri = {"WARC-Target-URI": F.col("url")}
@@ -101,16 +141,16 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISIT_BYTES
         F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("html"))), uri | {
             "WARC-Payload-Digest": digest,
             "WARC-Profile": F.when(F.col("revisit"), F.lit(REVISIT_PROFILE)),
-            "WARC-Refers-To": F.when(F.col("revisit"), record_id(F.lit("main"), F.col("first"),
-                                                                 F.col("key"))),
+            "WARC-Refers-To": F.when(F.col("revisit"), _page_record(
+                "main", F.col("first.page_id"), F.col("key"), F.col("first.url"), F.lit(1))),
             "Content-Type": F.lit("application/http; msgtype=response")})
     request = _record(
-        F.lit("request"), record_id(F.lit("request"), F.col("page_id"), F.col("key")),
+        F.lit("request"), ident("request"),
         F.concat(F.lit("GET "), F.coalesce("url", F.lit("/")), F.lit(" HTTP/1.1" + END)),
         uri | {"WARC-Concurrent-To": main,
                "Content-Type": F.lit("application/http; msgtype=request")})
     metadata = _record(
-        F.lit("metadata"), record_id(F.lit("metadata"), F.col("page_id"), F.col("key")),
+        F.lit("metadata"), ident("metadata"),
         F.concat(F.lit("page_id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
                  F.lit("\r\n")),
         uri | {"WARC-Concurrent-To": main, "Content-Type": F.lit("application/warc-fields")})
@@ -270,8 +310,8 @@ def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     capture: ``(page_id, payload_bytes, payload_digest, record_type,
     refers_to, target_uri)``.
 
-    Rows that repeat a ``page_id`` with an equal payload are one capture, with
-    the target of one of them.  An empty table gives an empty result.
+    Every row is a capture, also where a ``page_id`` is null or repeated.  An
+    empty table gives an empty result.
     """
     spark = pages.sparkSession
     path = path or scratch_path(spark, "archives")

@@ -93,6 +93,17 @@ def test_warc(spark):
     assert round_trip(df.where("false")).count() == 0
 
 
+def test_warc_row_per_page(spark):
+    rows = [(1, "u1", "a"), (1, "u2", "a"), (1, "u2", "a"), (2, "u1", "a"), (2, None, "a"), (3, "u3", "a"),
+            (4, "u4", "b"), (4, "u4", "b"), (5, "u5", "c"), (5, "u5", "d"),
+            (None, "u6", None), (None, "u7", None), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = round_trip(df).select("page_id", "target_uri", "payload_bytes", "record_type", "refers_to").collect()
+    want = [(i, u, len(t or ""), "revisit" if t == "a" and i > 1 else "response",
+             1 if t == "a" and i > 1 else None) for i, u, t in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_language_rejection(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     lettered = docs.where(r"text rlike '\\p{L}'").count()
