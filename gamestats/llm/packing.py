@@ -5,9 +5,10 @@ Documents are tokenised in the tasks; one longer than a sequence is cut into
 whole sequences and one shorter first piece.  The shorter pieces are dealt by
 hash into blocks of about ``BLOCK`` pieces.  Each block is evolved on
 ``ISLANDS`` islands: a solution is a set of bins, the first ones come from
-best-fit orders, and crossover injects the well-filled bins of one parent into
-another, removes the bins that repeat their pieces and best-fits the displaced
-ones.  Between epochs the elite of each island moves to the next one.  The
+best-fit orders, and crossover injects some of the fuller half of one parent's
+bins into another, removes the bins that repeat their pieces, opens some of the emptiest and
+best-fits the displaced ones.  Generations follow until ``PATIENCE`` of them
+bring nothing better.  Between epochs the elite of each island moves to the next one.  The
 bins that stay poorly filled in the best solution are opened, and their pieces
 are dealt anew in the next round, until one block is left or a round no longer
 fills bins well.
@@ -34,7 +35,8 @@ BLOCK = 2048          # pieces
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
-GENERATIONS = 4
+PATIENCE = 8          # generations without a better solution that end an epoch
+OPENED = 0.3          # of the bins that crossover leaves in place, at most
 WELL_FILLED = 0.985   # of a sequence
 GAIN = 0.8            # a round that leaves more of its pieces open is the last
 
@@ -160,16 +162,18 @@ def best_fit(order, size: list[int], bins: Bins, most: int) -> Bins:
     return bins
 
 
-def fitness(bins: Bins, size: list[int], most: int) -> tuple[int, float]:
+def fitness(bins: Bins, size: list[int]) -> tuple[int, int]:
     """Fewer bins first, then the sum of squared fills (higher is better)."""
-    return -len(bins), sum((sum(size[i] for i in b) / most) ** 2 for b in bins)
+    return -len(bins), sum(sum(size[i] for i in b) ** 2 for b in bins)
 
 
 def crossover(a: Bins, b: Bins, size: list[int], most: int, rng) -> Bins:
-    """Inject well-filled bins of ``b`` into ``a``."""
-    good = [x for x in b if sum(size[i] for i in x) >= WELL_FILLED * most]
-    if not good:
-        return [list(x) for x in a]
+    """Inject half of the fuller half of ``b``'s bins into ``a``, and open up to
+    ``OPENED`` of the bins of ``a`` that stay, the emptiest first."""
+    def fill(x: list[int]) -> int:
+        return sum(size[i] for i in x)
+
+    good = sorted(b, key=fill, reverse=True)[:max(1, len(b) // 2)]
     chosen = [good[k] for k in rng.permutation(len(good))[:max(1, len(good) // 2)]]
     taken = {i for x in chosen for i in x}
     kept, displaced = [], []
@@ -178,6 +182,10 @@ def crossover(a: Bins, b: Bins, size: list[int], most: int, rng) -> Bins:
             kept.append(list(x))
         else:
             displaced += [i for i in x if i not in taken]
+    kept.sort(key=fill)
+    opened = int(len(kept) * OPENED * rng.random())
+    displaced += [i for x in kept[:opened] for i in x]
+    kept = kept[opened:]
     displaced.sort(key=lambda i: -size[i])
     return best_fit(displaced, size, kept + [list(x) for x in chosen], most)
 
@@ -201,16 +209,19 @@ def evolve(size: list[int], elite: list[int] | None, seed: int, most: int = SEQU
         noise = rng.integers(0, scale, n)
         population.append(best_fit(sorted(range(n), key=lambda i: -size[i] - noise[i]),
                                    size, [], most))
-    ranked = sorted(population, key=lambda p: fitness(p, size, most), reverse=True)
-    for _ in range(GENERATIONS):
-        if len(ranked) < 2 or len(ranked[0]) <= least:
-            break
-        a, b = rng.permutation(len(ranked))[:2]
-        child = crossover(ranked[a], ranked[b], size, most, rng)
-        ranked = sorted([*ranked, child], key=lambda p: fitness(p, size, most),
-                        reverse=True)[:POPULATION]
+    # by fitness, one solution for each; a child with a known fitness is no news
+    known = {fitness(p, size): p for p in reversed(population)}
+    idle = 0
+    while idle < PATIENCE and len(known) > 1 and -max(known)[0] > least:
+        a, b = rng.permutation(len(known))[:2]
+        ranked = sorted(known, reverse=True)
+        child = crossover(known[ranked[a]], known[ranked[b]], size, most, rng)
+        known.setdefault(fitness(child, size), child)
+        if len(known) > POPULATION:
+            del known[min(known)]
+        idle = 0 if max(known) > ranked[0] else idle + 1
     out = [0] * n
-    for k, x in enumerate(ranked[0]):
+    for k, x in enumerate(known[max(known)]):
         for i in x:
             out[i] = k
     return out

@@ -1,13 +1,15 @@
 import math
+import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gamestats.llm.covertree import top_k_search
 from gamestats.llm.langid import identify, keep_identified
 from gamestats.llm.mixing import mix
-from gamestats.llm.packing import best_fit_packing, default_tokenizer
+from gamestats.llm.packing import best_fit, best_fit_packing, crossover, default_tokenizer, evolve
 from gamestats.llm.warc import round_trip
 
 DOCS = [(i, " ".join(f"w{i}x{k}" for k in range(i % 13)), "en", "abc"[i % 3]) for i in range(40)]
@@ -64,6 +66,28 @@ def test_packing(documents):
     assert best_fit_packing(documents(rows).where("false")).count() == 0
 
 
+def test_search_where_no_bin_is_nearly_full():
+    rng = random.Random(3)
+    size = []
+    for _ in range(300):                       # three to a bin of 1960
+        a = rng.randrange(560, 820)
+        b = rng.randrange(560, 1960 - a - 480)
+        size += [a, b, 1960 - a - b]
+    falling = best_fit(sorted(range(900), key=lambda i: -size[i]), size, [], 2048)
+    first = [x for x in falling if sum(size[i] for i in x) < 0.985 * 2048]
+    items = sorted(i for x in first for i in x)
+    other = best_fit(items, size, [], 2048)
+    poor = [x for x in other if sum(size[i] for i in x) < 0.985 * 2048]
+    assert poor and not {tuple(sorted(x)) for x in crossover(first, poor, size, 2048, np.random.default_rng(1))} \
+        <= {tuple(sorted(x)) for x in first}
+    best = evolve(size, evolve(size, None, 1), 2)
+    assert len(set(best)) < len(falling)
+    fill = {}
+    for n, k in zip(size, best):
+        fill[k] = fill.get(k, 0) + n
+    assert max(fill.values()) <= 2048
+
+
 def test_top_k(spark):
     vectors = [(i, [((i * k * 37) % 101 - 50) / 50 for k in range(1, 9)]) for i in range(300)]
     odd = [(300, None), (350, [None] + [0.5] * 7), (400, [float("nan")] + [0.5] * 7)]
