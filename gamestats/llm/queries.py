@@ -12,6 +12,7 @@ from gamestats.llm import sql
 from gamestats.llm.common import read_table
 from gamestats.llm.covertree import top_k_search
 from gamestats.llm.exact_dedup import exact_dedup
+from gamestats.llm.fill_middle import fill_in_middle_digest
 from gamestats.llm.langid import identify
 from gamestats.llm.line_dedup import line_dedup
 from gamestats.llm.minhash import near_dedup
@@ -67,11 +68,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_suffix_dedup, op3_minhash_near_dedup, op4_language_id,
         op5_secret_scan, op6_warc, op7_mix_sources, op8_top_k_search, op9_exact_dedup,
-        op10_best_fit_packing)
+        op10_best_fit_packing, op13_fill_in_middle)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -80,4 +85,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_warc": sql.WARC,
     "op8_top_k_search": sql.TOP_K,
     "op9_exact_dedup": sql.EXACT_DEDUP,
+    "op13_fill_in_middle": sql.FILL_MIDDLE,
 }

@@ -124,3 +124,32 @@ ranked AS (
   FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+# Exact text comes back, so its digest is the text's own.
+FILL_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS line
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, line, CAST(len(line) AS BIGINT) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(line) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(line) + 1) AS b,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 100 AS plain,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 AS spm
+  FROM d),
+cut AS (
+  SELECT doc_id, text, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(line[1:least(a, b)], '') AS p,
+         array_to_string(line[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(line[greatest(a, b) + 1:n], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
