@@ -20,6 +20,7 @@ from gamestats.llm.mixing import mix
 from gamestats.llm.packing import best_fit_packing
 from gamestats.llm.secrets import secret_digest
 from gamestats.llm.suffix_dedup import suffix_dedup
+from gamestats.llm.toxicity import toxicity
 from gamestats.llm.warc import round_trip
 
 
@@ -68,6 +69,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"),
+                    read_table(spark, sf_dir, "labels")).drop("hits")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle_digest(read_table(spark, sf_dir, "documents"))
 
@@ -76,7 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_suffix_dedup, op3_minhash_near_dedup, op4_language_id,
         op5_secret_scan, op6_warc, op7_mix_sources, op8_top_k_search, op9_exact_dedup,
-        op10_best_fit_packing, op13_fill_in_middle)
+        op10_best_fit_packing, op12_toxicity, op13_fill_in_middle)
 }
 
 ORACLE_SQL: dict[str, str] = {
