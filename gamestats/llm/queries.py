@@ -22,6 +22,7 @@ from gamestats.llm.secrets import secret_digest
 from gamestats.llm.suffix_dedup import suffix_dedup
 from gamestats.llm.toxicity import toxicity
 from gamestats.llm.warc import round_trip
+from gamestats.llm.whitening import whiten
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +70,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_table(spark, sf_dir, "documents"),
                     read_table(spark, sf_dir, "labels")).drop("hits")
@@ -82,7 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_suffix_dedup, op3_minhash_near_dedup, op4_language_id,
         op5_secret_scan, op6_warc, op7_mix_sources, op8_top_k_search, op9_exact_dedup,
-        op10_best_fit_packing, op12_toxicity, op13_fill_in_middle)
+        op10_best_fit_packing, op11_embedding_whitening,
+        op12_toxicity, op13_fill_in_middle)
 }
 
 ORACLE_SQL: dict[str, str] = {
