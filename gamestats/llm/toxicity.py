@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gamestats.llm.common import materialize, ship_package
@@ -221,19 +221,19 @@ def usable_labels(labels: DataFrame) -> DataFrame:
 def training_sample(docs: DataFrame, labels: DataFrame) -> list:
     """``(toxic, text)`` rows of the bounded sample, in a fixed order.  Ids are
     drawn from the labels alone; only the drawn documents are read out."""
-    draw = F.xxhash64("doc_id", F.lit("draw"))
-    first = Window.partitionBy("toxic").orderBy("draw", "doc_id")
-    bound = F.when(F.col("toxic") == 1, TOXIC_DOCS).otherwise(ORDINARY_DOCS)
-    drawn = (labels.where(_for_dictionaries(F.col("doc_id"))).withColumn("draw", draw)
-             .withColumn("turn", F.row_number().over(first))
-             .where((F.col("turn") <= max(TOXIC_DOCS, ORDINARY_DOCS)) & (F.col("turn") <= bound)))
+    fit = labels.where(_for_dictionaries(F.col("doc_id"))).withColumn(
+        "draw", F.xxhash64("doc_id", F.lit("draw")))
+    # each task keeps its own first ones, and those alone are merged
+    toxic, ordinary = [fit.where(F.col("toxic") == kind).orderBy("draw", "doc_id").limit(bound)
+                       for kind, bound in ((1, TOXIC_DOCS), (0, ORDINARY_DOCS))]
+    drawn = toxic.union(ordinary)
     start = F.pmod(F.col("draw"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1)))
     texts = (docs.where(F.col("text").isNotNull())
              .join(F.broadcast(drawn), "doc_id")      # at most TOXIC_DOCS + ORDINARY_DOCS ids
-             .select("toxic", "turn", F.substring("text", (start + 1).cast("int"), F.lit(SAMPLE_CHARS))
+             .select("toxic", "doc_id", F.substring("text", (start + 1).cast("int"), F.lit(SAMPLE_CHARS))
                      .alias("text")))
     # rows that repeat an id are one draw
-    return sorted(texts.groupBy("toxic", "turn").agg(F.min("text").alias("text")).collect())
+    return sorted(texts.groupBy("toxic", "doc_id").agg(F.min("text").alias("text")).collect())
 
 
 def _count(distance: Distance):
