@@ -23,13 +23,15 @@ from gamestats.operators.best import all_names, best_names, rated_items, summari
 from gamestats.operators.filters import with_result
 from gamestats.operators.keyed import (keyed_mean, keyed_pct, keyed_ratio, mean_of,
                                        multi_keyed, pct_of)
+from gamestats.operators.merge import best_items, chunk_index, name_chunks
 from gamestats.operators.ranking import sample_k, sort_by_key, top_k
-from gamestats.sources.star import games_table, rated_items_table
+from gamestats.sources.star import games_table, rated_items_table, rated_summary_table
 
 KEY_SEPARATOR = "#"
 # The item type kept by the rating queries on the events view.
 RATED_TYPE = "purchase"
 SAMPLE_SEED = 1
+CHUNK_NAMES = 8  # names in a numbered chunk of a series
 
 
 def _part(col: str) -> F.Column:
@@ -187,12 +189,28 @@ def series_avg_max(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:
     return summarise_group(rated_items(r, item_type), "series", "rating")
 
 
-def series_all_names(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:    # Q19
-    return all_names(rated_items(r, item_type), "series", "rating", "episode")
+def series_all_names(r: DataFrame, item_type: str = RATED_TYPE,
+                     summary: DataFrame | None = None) -> DataFrame:             # Q19
+    return all_names(rated_items(r, item_type), "series", "rating", "episode", summary)
 
 
-def series_best_names(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:   # Q20
-    return best_names(rated_items(r, item_type), "series", "rating", "episode")
+def series_best_names(r: DataFrame, item_type: str = RATED_TYPE,
+                      summary: DataFrame | None = None) -> DataFrame:            # Q20
+    return best_names(rated_items(r, item_type), "series", "rating", "episode", summary)
+
+
+def series_name_chunks(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:  # Q19, A7 in chunks
+    return name_chunks(rated_items(r, item_type), "series", "episode", CHUNK_NAMES)
+
+
+def series_name_index(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:
+    """How many names, chunks and characters the merged text of a series has."""
+    return chunk_index(series_name_chunks(r, item_type), "series")
+
+
+def series_best_name_chunks(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:  # Q20, J5 + A7
+    best = best_items(rated_items(r, item_type), "series", "rating", "episode")
+    return name_chunks(best, "series", "episode", CHUNK_NAMES)
 
 
 def text_measures_by_lang(docs: DataFrame) -> DataFrame:
@@ -237,8 +255,14 @@ RATING_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "series_avg_max": series_avg_max,
     "series_all_names": series_all_names,
     "series_best_names": series_best_names,
+    "series_name_chunks": series_name_chunks,
+    "series_name_index": series_name_index,
+    "series_best_name_chunks": series_best_name_chunks,
 }
 
+# Those that take the summary of the series, where it is a table already.
+WITH_SUMMARY = ("series_all_names", "series_best_names")
+
 
 def _top_order(value: str, key: str) -> list[tuple[str, str]]:
     return [(value, "desc"), (key, "asc")]
@@ -277,6 +301,10 @@ def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = (lambda q: lambda spark, d: q(games_table(spark, d)))(q)
     for name, q in RATING_QUERIES.items():
         out[name] = (lambda q: lambda spark, d: q(rated_items_table(spark, d, RATED_TYPE)))(q)
+    for name in WITH_SUMMARY:
+        out[name] = (lambda q: lambda spark, d: q(
+            rated_items_table(spark, d, RATED_TYPE), RATED_TYPE,
+            rated_summary_table(spark, d, RATED_TYPE)))(RATING_QUERIES[name])
     out["text_measures_by_lang"] = lambda spark, d: text_measures_by_lang(
         spark.read.parquet(f"{d.rstrip('/')}/documents.parquet"))
     return out

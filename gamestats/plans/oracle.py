@@ -13,7 +13,7 @@ from __future__ import annotations
 BAND_EDGES = (1200, 1400, 1600, 1800, 2000, 2200, 2300, 2400, 2500, 2700)
 BAND_NAMES = ("novice", "class D", "class C", "class B", "class A", "CM",
               "CM-NM", "FM-IM", "IM-GM", "GM", "SGM")
-MEAN_DIGITS = 9
+CHUNK_NAMES = 8
 NAME_SEPARATOR = " | "
 RATED_TYPE = "purchase"
 SAMPLE_SEED = 1
@@ -93,12 +93,31 @@ items AS (
 """
 
 
+# The exact sum of the ratings as a whole number of 2 ** -80 (they are all such
+# multiples), rounded once: its 58 or so highest bits, then one bit for the rest.
+EXACT_CTE = """
+units AS (
+  SELECT series, count(rating) AS n, max(rating) AS max_rating,
+         sum(CAST(rating * 1208925819614629174706176 AS HUGEINT)) AS u
+  FROM items GROUP BY series),
+cut AS (
+  SELECT *, greatest(0, CAST(floor(log2(CAST(abs(u) AS DOUBLE) + 1)) AS INTEGER) - 58) AS k,
+         CAST(pow(2, greatest(0, CAST(floor(log2(CAST(abs(u) AS DOUBLE) + 1)) AS INTEGER) - 58)) AS HUGEINT) AS p
+  FROM units),
+summary AS (
+  SELECT series, max_rating, n,
+         sign(u) * CAST(CAST((abs(u) // p) * 2 + CASE WHEN abs(u) % p <> 0 THEN 1 ELSE 0 END AS BIGINT)
+                        AS DOUBLE) * pow(2, k - 81) / n AS avg_rating
+  FROM cut)
+"""
+
+
 def _games(body: str) -> str:
     return f"WITH {GAMES_CTE}\n{body}"
 
 
 def _ratings(body: str) -> str:
-    return f"WITH {RATINGS_CTE}\n{body}"
+    return f"WITH {RATINGS_CTE}, {EXACT_CTE}\n{body}"
 
 
 def _mean(col: str) -> str:
@@ -153,8 +172,16 @@ def _draw_share_sql() -> str:
     return _pair("opening", "event", _mean("draw"), "opening_event", "draw_share")
 
 
+def _chunks_sql(items: str) -> str:
+    return f"""
+SELECT series, place // {CHUNK_NAMES} AS chunk, min(place) AS first_place, count(*) AS n_names,
+       string_agg(episode, '{NAME_SEPARATOR}' ORDER BY place) AS names
+FROM (SELECT series, episode, row_number() OVER (PARTITION BY series ORDER BY episode) - 1 AS place
+      FROM {items})
+GROUP BY series, place // {CHUNK_NAMES}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    mean_r = f"round(avg(rating), {MEAN_DIGITS})"
     return {
         "avg_moves_by_event": _keyed("event", _mean("moves"), "avg_moves"),
         "avg_captures_by_event": _keyed("event", _mean("captures"), "avg_captures"),
@@ -204,20 +231,23 @@ def oracle_sql() -> dict[str, str]:
         "game_stats_grouping_sets": _grouping_sets_sql(),
         "black_win_pct_by_opening": _pair("eco", "opening", _pct("black_win"), "eco_opening",
                                           "black_win_pct"),
-        "series_avg_max": _ratings(
-            f"SELECT series, {mean_r} AS avg_rating, max(rating) AS max_rating "
-            "FROM items GROUP BY series"),
-        "series_all_names": _ratings(
-            f"SELECT series, string_agg(episode, '{NAME_SEPARATOR}' ORDER BY episode) AS names, "
-            f"max(rating) AS max_rating, {mean_r} AS avg_rating FROM items GROUP BY series"),
+        "series_avg_max": _ratings("SELECT series, avg_rating, max_rating FROM summary"),
+        "series_all_names": _ratings(f"""
+SELECT series, string_agg(episode, '{NAME_SEPARATOR}' ORDER BY episode) AS names,
+       any_value(s.max_rating) AS max_rating, any_value(s.avg_rating) AS avg_rating
+FROM items JOIN summary s USING (series) GROUP BY series"""),
         "series_best_names": _ratings(f"""
-, ranked AS (
-  SELECT *, max(rating) OVER (PARTITION BY series) AS top,
-         round(avg(rating) OVER (PARTITION BY series), {MEAN_DIGITS}) AS avg_rating
-  FROM items)
 SELECT series, string_agg(episode, '{NAME_SEPARATOR}' ORDER BY episode) AS best_names,
-       max(top) AS max_rating, max(avg_rating) AS avg_rating
-FROM ranked WHERE rating = top GROUP BY series"""),
+       any_value(s.max_rating) AS max_rating, any_value(s.avg_rating) AS avg_rating
+FROM items JOIN summary s USING (series) WHERE rating = s.max_rating GROUP BY series"""),
+        "series_name_chunks": _ratings(_chunks_sql("items")),
+        "series_best_name_chunks": _ratings(_chunks_sql(
+            "(SELECT i.* FROM items i JOIN summary s USING (series) WHERE i.rating = s.max_rating)")),
+        "series_name_index": _ratings(f"""
+SELECT series, CAST(count(*) AS BIGINT) AS n_names,
+       CAST((count(*) + {CHUNK_NAMES - 1}) // {CHUNK_NAMES} AS BIGINT) AS n_chunks,
+       CAST(length(string_agg(episode, '{NAME_SEPARATOR}')) AS BIGINT) AS n_chars
+FROM items GROUP BY series"""),
         "text_measures_by_lang": f"""
 WITH t AS (SELECT lang, coalesce(text, '') AS an FROM documents)
 SELECT lang, count(*) AS texts,

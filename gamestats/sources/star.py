@@ -182,3 +182,20 @@ def rated_items_table(spark: SparkSession, sf_dir: str, item_type: str) -> DataF
     return derived_table(spark, f"rated-{item_type}", [f"{d}/events.parquet"],
                          lambda: best.rated_items(ratings_from_events(spark, d), item_type),
                          definition)
+
+
+def rated_summary_table(spark: SparkSession, sf_dir: str, item_type: str) -> DataFrame:
+    """Mean and maximum per series of the rated items, one small row each,
+    written once (see ``gamestats.sources.derived``): a query that needs them
+    beside the items reads the items only once."""
+    import sys
+
+    from gamestats.functions import exact as exact_functions
+    from gamestats.operators import best, exact
+    from gamestats.sources.derived import definition_fingerprint, derived_table
+
+    d = sf_dir.rstrip("/")
+    definition = definition_fingerprint(sys.modules[__name__], best, exact, exact_functions)
+    return derived_table(spark, f"rated-summary-{item_type}", [f"{d}/events.parquet"],
+                         lambda: best.summarise_group(rated_items_table(spark, d, item_type),
+                                                      "series", "rating"), definition)

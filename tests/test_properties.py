@@ -1,6 +1,7 @@
 """Property tests: the Spark measures against plain-Python definitions on
 generated move texts, and the additivity the star view relies on."""
 
+import math
 import re
 
 from hypothesis import HealthCheck, given, settings
@@ -133,7 +134,7 @@ def test_best_and_all_names_match_python(spark, rows):
     want_best, want_all = {}, {}
     for k, items in groups.items():
         top = max(v for v, _ in items)
-        avg = round(sum(v for v, _ in items) / len(items), 9)
+        avg = math.fsum(v for v, _ in items) / len(items)
         want_best[k] = (" | ".join(sorted(n for v, n in items if v == top)), top, avg)
         want_all[k] = (" | ".join(sorted(n for _, n in items)), top, avg)
     got_best = {r["k"]: (r["best_names"], r["max_rating"], r["avg_rating"])
