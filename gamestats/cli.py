@@ -6,7 +6,8 @@
 
 Game queries read games files (quoted CSV by default), measured once into a
 derived table (see ``gamestats.sources.derived``); rating queries read the
-tab-separated ratings layout.  The result is written one part per partition,
+tab-separated ratings layout, parsed once into such a table too, with the
+rejected lines beside the rows.  The result is written one part per partition,
 or as one ordered file with ``--single``.
 """
 
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from gamestats.operators.best import SERIES_TYPE
 from gamestats.plans.catalog import GAME_QUERIES, RATING_QUERIES, RESULT_ORDER, order_columns
 from gamestats.sinks import show_rows, write_parts, write_single
-from gamestats.sources.files import measured_games_table, read_ratings_tsv
+from gamestats.sources.files import measured_games_table
+from gamestats.sources.ledger import ratings_table, rows_of
 
 ALL_GAMES = "all-games"
 ALL_RATINGS = "all-ratings"
@@ -28,7 +30,7 @@ ALL_RATINGS = "all-ratings"
 def run_query(spark: SparkSession, query: str, path: str, input_format: str = "csv",
               item_type: str = SERIES_TYPE) -> DataFrame:
     if query in RATING_QUERIES:
-        return RATING_QUERIES[query](read_ratings_tsv(spark, path), item_type)
+        return RATING_QUERIES[query](rows_of(ratings_table(spark, path)), item_type)
     return GAME_QUERIES[query](measured_games_table(spark, path, input_format))
 
 

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gamestats.sources.scratch import written
+
 Keys = str | Column | Sequence[str | Column]
 
 
@@ -101,3 +103,49 @@ def multi_keyed(df: DataFrame, sets: Mapping[str, Sequence[str]],
     grouped = df.groupingSets([list(m) for m in sets.values()], *all_keys)
     return grouped.agg(grouping_label(sets, all_keys).alias(label),
                        *[c.alias(n) for n, c in aggs.items()])
+
+
+def rolled_up(df: DataFrame, sets: Mapping[str, Sequence[str]], means: Mapping[str, str],
+              count: str = "games", label: str = "grouping_set") -> DataFrame:
+    """A9 without copying the detail: the means of whole-number measures
+    (``{alias: column}``) and a count per grouping set, as ``multi_keyed`` gives
+    them.
+
+    The detail is aggregated once, by all keys together, to sums and counts;
+    that state is written and every grouping set is added up from it.  The state
+    has a row per combination of keys: where there are about as many of those as
+    rows, ``multi_keyed`` is the better plan (see ``state_is_smaller``).
+    """
+    all_keys = list(dict.fromkeys(k for members in sets.values() for k in members))
+    measures = list(dict.fromkeys(means.values()))
+    partial = df.groupBy(*all_keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(F.col(m).cast("long")).alias(f"_sum{i}") for i, m in enumerate(measures)],
+        *[F.count(F.col(m)).alias(f"_n{i}") for i, m in enumerate(measures)])
+    state = written(partial, "grouping-state")
+    types = dict(df.dtypes)
+    out = None
+    for name, members in sets.items():
+        grouped = state.groupBy(*members).agg(
+            F.sum("_rows").alias("_rows"),
+            *[F.sum(f"_sum{i}").alias(f"_sum{i}") for i in range(len(measures))],
+            *[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(measures))])
+        part = grouped.select(
+            *[(F.col(k) if k in members else F.lit(None).cast(types[k])).alias(k) for k in all_keys],
+            F.lit(name).alias(label), F.col("_rows").alias(count),
+            *[F.when(F.col(f"_n{i}") > 0, F.col(f"_sum{i}").cast("double") / F.col(f"_n{i}")).alias(a)
+              for a, i in ((a, measures.index(m)) for a, m in means.items())])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def state_is_smaller(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> bool:
+    """Whether the state of ``rolled_up`` has fewer rows than the copies of the
+    input that grouping sets make, by an estimate of the number of key
+    combinations: one narrow pass without a shuffle of rows.  The state is made
+    by as many partial states as there are tasks, so it must be clearly smaller."""
+    all_keys = list(dict.fromkeys(k for members in sets.values() for k in members))
+    row = df.agg(F.approx_count_distinct(F.struct(*all_keys)).alias("states"),
+                 F.count(F.lit(1)).alias("rows")).first()
+    tasks = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return min(row["states"] * tasks, row["rows"]) + row["states"] < len(sets) * row["rows"]

@@ -13,6 +13,7 @@ built after the aggregation, on one row per group.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,18 @@ from gamestats.functions.measures import WHITE_WINS, captures, castled, checks,
 from gamestats.operators.best import all_names, best_names, rated_items, summarise_group
 from gamestats.operators.filters import with_result
 from gamestats.operators.keyed import (keyed_mean, keyed_pct, keyed_ratio, mean_of,
-                                       multi_keyed, pct_of)
+                                       multi_keyed, pct_of, rolled_up, state_is_smaller)
 from gamestats.operators.merge import best_items, chunk_index, name_chunks
+from gamestats.operators.order import key_order, ranked
 from gamestats.operators.ranking import sample_k, sort_by_key, top_k
+from gamestats.operators.measured import measure_games
+from gamestats.session import ensure_checkpoint_dir
+from gamestats.sinks import publish, read_ordered, read_published, write_ordered
+from gamestats.sources.exports import plain_games, quoted_games, tab_ratings
+from gamestats.sources.files import read_games_lines
+from gamestats.sources.incremental_table import measured_lines
+from gamestats.sources.ledger import (ledger_counts, measured_ledger_table, ratings_table,
+                                      rows_of)
 from gamestats.sources.star import games_table, rated_items_table, rated_summary_table
 
 KEY_SEPARATOR = "#"
@@ -136,6 +146,11 @@ def draw_share_sample10(g: DataFrame) -> DataFrame:                      # Q15
     return sample_k(draw_share_by_opening_event(g), "opening_event", 10, SAMPLE_SEED)
 
 
+def draw_share_ranked(g: DataFrame) -> DataFrame:                       # Q15, O2 as drafted
+    """The shares in falling order of their key, with their positions."""
+    return ranked(draw_share_by_opening_event(g), key_order("opening_event", descending=True))
+
+
 def white_win_share_by_opening_event(g: DataFrame) -> DataFrame:         # Q16
     return _mean_by_pair(g, "opening", "event", "white_win", "opening_event",
                          "white_win_share")
@@ -183,6 +198,19 @@ def game_stats_grouping_sets(g: DataFrame) -> DataFrame:                 # Q17
     return out.withColumn("moves", F.col("moves").cast("string"))
 
 
+GAME_STATS_MEANS = {"avg_moves": "moves", "avg_captures": "captures", "avg_checks": "checks",
+                    "castling_share": "castled", "draw_share": "draw", "white_win_share": "white_win"}
+
+
+def game_stats_rolled_up(g: DataFrame) -> DataFrame:                     # Q17, one small state
+    """The same rows added up from one state per combination of keys, where that
+    is smaller than the copies that grouping sets make of the games."""
+    g = g.withColumn("elo_band", F.col("elo_band_mean"))
+    if not state_is_smaller(g, GROUPING_SETS):
+        return game_stats_grouping_sets(g)
+    return rolled_up(g, GROUPING_SETS, GAME_STATS_MEANS).withColumn("moves", F.col("moves").cast("string"))
+
+
 # --- rated items per group --------------------------------------------------
 
 def series_avg_max(r: DataFrame, item_type: str = RATED_TYPE) -> DataFrame:      # Q18
@@ -245,9 +273,11 @@ GAME_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "castling_pct_by_moves_dash": lambda g: castling_pct_by_moves(g, "castled_dash"),
     "draw_share_by_opening_event": draw_share_by_opening_event,
     "draw_share_sample10": draw_share_sample10,
+    "draw_share_ranked": draw_share_ranked,
     "white_win_share_by_opening_event": white_win_share_by_opening_event,
     "white_wins_by_opening_event": white_wins_by_opening_event,
     "game_stats_grouping_sets": game_stats_grouping_sets,
+    "game_stats_rolled_up": game_stats_rolled_up,
     "black_win_pct_by_opening": black_win_pct_by_opening,
 }
 
@@ -264,6 +294,75 @@ RATING_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 WITH_SUMMARY = ("series_all_names", "series_best_names")
 
 
+# --- through files and sinks (S1-S4, M8, K1-K3, K6, R2) ----------------------
+
+RESULTS_FOLDER = "gamestats-results"
+
+
+def _result_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A published result of its own for each input folder."""
+    digest = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{RESULTS_FOLDER}/{name}-{digest}"
+
+
+def _quoted(query: Callable[[DataFrame], DataFrame]):
+    return lambda spark, d: query(rows_of(measured_ledger_table(spark, quoted_games(spark, d))))
+
+
+def _plain(query: Callable[[DataFrame], DataFrame]):
+    return lambda spark, d: query(measure_games(read_games_lines(spark, plain_games(spark, d))))
+
+
+def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_of(ratings_table(spark, tab_ratings(spark, sf_dir)))
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of the ratings files, all files together: what was read, kept
+    and rejected for which reason, and how many rejects name their line."""
+    ledger = ratings_table(spark, tab_ratings(spark, sf_dir)).withColumn("input", F.lit("ratings"))
+    named = F.coalesce((F.col("file") != "") & (F.col("number") > 0) & F.col("text").isNotNull(), F.lit(False))
+    places = ledger.where(F.col("reason").isNotNull()).groupBy("input").agg(
+        F.sum(named.cast("long")).alias("named"), F.countDistinct("file", "number").alias("places"))
+    return ledger_counts(ledger, "input").join(places, "input", "left").drop("input", "rejected_record")
+
+
+def _published_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11's top list written as a new version of a result, and read back (K1, K6)."""
+    path = _result_path(spark, sf_dir, "castling-top10")
+    publish(castling_pct_by_elo_top10(games_table(spark, sf_dir)), path)
+    return read_published(spark, path)
+
+
+def _ordered_by_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 written in order, in parts, and read back with positions (K2, K3, R2)."""
+    path = _result_path(spark, sf_dir, "captures-by-moves")
+    write_ordered(keyed_mean(games_table(spark, sf_dir), "moves", "captures", "avg_captures"), path, "moves")
+    return read_ordered(spark, path)
+
+
+def _by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 on a table that follows its files one by one (R1)."""
+    table = measured_lines(spark, plain_games(spark, sf_dir))
+    table.refresh()
+    return avg_captures_by_event(table.table())
+
+
+FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quoted_avg_captures_by_event": _quoted(avg_captures_by_event),
+    "quoted_avg_captures_by_moves": _quoted(avg_captures_by_moves),
+    "quoted_avg_captures_by_elo": _quoted(avg_captures_by_elo),
+    "quoted_draw_share_ranked": _quoted(draw_share_ranked),
+    "plain_avg_captures_by_event": _plain(avg_captures_by_event),
+    "by_file_avg_captures_by_event": _by_file,
+    "tab_series_avg_max": lambda spark, d: series_avg_max(_ratings(spark, d)),
+    "tab_series_best_names": lambda spark, d: series_best_names(_ratings(spark, d)),
+    "tab_rejects": _rejects,
+    "castling_pct_by_elo_top10_published": _published_top10,
+    "avg_captures_by_moves_ordered": _ordered_by_moves,
+}
+
+
 def _top_order(value: str, key: str) -> list[tuple[str, str]]:
     return [(value, "desc"), (key, "asc")]
 
@@ -294,8 +393,9 @@ def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every catalogue query as ``(spark, sf_dir) -> DataFrame`` over the
     star-schema views.  Game queries read the measured-games table, which is
     derived from ``orders`` + ``lineitem`` once per input and reused; rating
-    queries read the rated items of ``events``, also written once; the text
-    measures read ``documents``."""
+    queries read the rated items of ``events``, also written once; the file
+    queries read the same views exported as text files; the text measures read
+    ``documents``."""
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name, q in GAME_QUERIES.items():
         out[name] = (lambda q: lambda spark, d: q(games_table(spark, d)))(q)
@@ -305,6 +405,7 @@ def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = (lambda q: lambda spark, d: q(
             rated_items_table(spark, d, RATED_TYPE), RATED_TYPE,
             rated_summary_table(spark, d, RATED_TYPE)))(RATING_QUERIES[name])
+    out.update(FILE_QUERIES)
     out["text_measures_by_lang"] = lambda spark, d: text_measures_by_lang(
         spark.read.parquet(f"{d.rstrip('/')}/documents.parquet"))
     return out

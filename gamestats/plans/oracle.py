@@ -14,6 +14,7 @@ BAND_EDGES = (1200, 1400, 1600, 1800, 2000, 2200, 2300, 2400, 2500, 2700)
 BAND_NAMES = ("novice", "class D", "class C", "class B", "class A", "CM",
               "CM-NM", "FM-IM", "IM-GM", "GM", "SGM")
 CHUNK_NAMES = 8
+DIRTY_EVERY = 50
 NAME_SEPARATOR = " | "
 RATED_TYPE = "purchase"
 SAMPLE_SEED = 1
@@ -181,7 +182,48 @@ FROM (SELECT series, episode, row_number() OVER (PARTITION BY series ORDER BY ep
 GROUP BY series, place // {CHUNK_NAMES}"""
 
 
+def _ranked_sql() -> str:
+    return (f"SELECT *, row_number() OVER (ORDER BY opening_event DESC NULLS LAST) AS position "
+            f"FROM ({_draw_share_sql()})")
+
+
+def _tab(body: str) -> str:
+    """Ratings as the tab-separated files have them, without the dirty lines."""
+    items = RATINGS_CTE.replace("CAST(user_id AS VARCHAR) AS series",
+                                "user_id || '#' || (user_id % 7) || '#s' AS series")
+    items = items.replace("WHERE ", f"WHERE event_id % {DIRTY_EVERY} > 2 AND ")
+    return f"WITH {items}, {EXACT_CTE}\n{body}"
+
+
+def _file_sql(star: dict[str, str]) -> dict[str, str]:
+    best = star["series_best_names"]
+    return {
+        **{f"quoted_{q}": star[q] for q in ("avg_captures_by_event", "avg_captures_by_moves",
+                                            "avg_captures_by_elo", "draw_share_ranked")},
+        "plain_avg_captures_by_event": star["avg_captures_by_event"],
+        "by_file_avg_captures_by_event": star["avg_captures_by_event"],
+        "tab_series_avg_max": _tab("SELECT series, avg_rating, max_rating FROM summary"),
+        "tab_series_best_names": _tab(best[best.index("\nSELECT series, string_agg"):]),
+        "tab_rejects": f"""
+WITH e AS (SELECT event_id % {DIRTY_EVERY} AS d FROM events)
+SELECT count(*) AS records, count(*) FILTER (WHERE d > 2) AS rows, count(*) FILTER (WHERE d <= 2) AS rejects,
+       count(*) FILTER (WHERE d = 1) AS rejected_fields, count(*) FILTER (WHERE d = 0) AS rejected_rating,
+       count(*) FILTER (WHERE d = 2) AS rejected_not_finite,
+       count(*) FILTER (WHERE d <= 2) AS named, count(*) FILTER (WHERE d <= 2) AS places
+FROM e""",
+        "castling_pct_by_elo_top10_published": star["castling_pct_by_elo_top10"],
+        "avg_captures_by_moves_ordered": (
+            f"SELECT *, row_number() OVER (ORDER BY moves NULLS LAST) AS position "
+            f"FROM ({star['avg_captures_by_moves']})"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    star = _star_sql()
+    return {**star, **_file_sql(star)}
+
+
+def _star_sql() -> dict[str, str]:
     return {
         "avg_moves_by_event": _keyed("event", _mean("moves"), "avg_moves"),
         "avg_captures_by_event": _keyed("event", _mean("captures"), "avg_captures"),
@@ -222,6 +264,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT opening_event, draw_share FROM (" + _draw_share_sql() + ") q "
             f"ORDER BY md5(opening_event || '#{SAMPLE_SEED}') ASC NULLS LAST, "
             "opening_event ASC NULLS LAST LIMIT 10"),
+        "draw_share_ranked": _ranked_sql(),
         "white_win_share_by_opening_event": _pair(
             "opening", "event", _mean("white_win"), "opening_event", "white_win_share"),
         "white_wins_by_opening_event": _games(
@@ -229,6 +272,7 @@ def oracle_sql() -> dict[str, str]:
             "count(*) AS white_wins FROM games WHERE result = '1-0' "
             "GROUP BY coalesce(opening, ''), coalesce(event, '')"),
         "game_stats_grouping_sets": _grouping_sets_sql(),
+        "game_stats_rolled_up": _grouping_sets_sql(),
         "black_win_pct_by_opening": _pair("eco", "opening", _pct("black_win"), "eco_opening",
                                           "black_win_pct"),
         "series_avg_max": _ratings("SELECT series, avg_rating, max_rating FROM summary"),

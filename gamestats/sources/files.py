@@ -8,7 +8,7 @@ filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -63,10 +63,15 @@ def read_games_lines(spark: SparkSession, path: str) -> DataFrame:
     the later fields.  Missing positions are NULL; ``id`` is NULL when the
     first field is not a number.
     """
-    parts = F.split(F.col("value"), ",")
+    return spark.read.text(path).select(*line_columns("value"))
+
+
+def line_columns(line: str) -> list[Column]:
+    """The games fields of a line that is split on every comma."""
+    parts = F.split(F.col(line), ",")
     cols = [parts.getItem(i).alias(name) for i, name in enumerate(GAMES_COLUMNS)]
     cols[0] = parts.getItem(0).try_cast("long").alias("id")
-    return spark.read.text(path).select(*cols)
+    return cols
 
 
 def read_games_parquet(spark: SparkSession, path: str) -> DataFrame:

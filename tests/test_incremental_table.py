@@ -1,0 +1,117 @@
+"""A measured table that follows its files, and the roll-up of one small state."""
+
+import os
+import shutil
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from gamestats.operators.keyed import multi_keyed, mean_of, rolled_up, state_is_smaller
+from gamestats.plans import catalog as C
+from gamestats.sources.files import read_games_lines
+from gamestats.sources.incremental_table import measured_lines
+from gamestats.operators.measured import measure_games
+
+
+def _games(path, first, n):
+    with open(path, "w") as out:
+        for i in range(first, first + n):
+            out.write(f"{i}, Blitz ,w,b,1-0,1500,1400,B90,Opening {i % 3},180,Normal,1. e4 xx {'+' * (i % 4)}\n")
+
+
+def _same(table, path, spark):
+    want = measure_games(read_games_lines(spark, str(path)))
+    return (table.columns == want.columns and table.exceptAll(want).count() == 0
+            and want.exceptAll(table).count() == 0)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    path = tmp_path / "games"
+    path.mkdir()
+    for f in range(100):
+        _games(path / f"f{f:03d}.csv", f * 10, 3)
+    return path
+
+
+def test_only_new_and_changed_files_are_measured(spark, folder):
+    t = measured_lines(spark, str(folder))
+    reads = []
+    read = t.read
+    t.read = lambda paths: reads.append(paths) or read(paths)
+    assert t.refresh() == 100 and _same(t.table(), folder, spark)
+    assert t.refresh() == 0 and len(reads) == 1
+    _games(folder / "f100.csv", 5000, 4)
+    assert t.refresh() == 1 and [os.path.basename(p) for p in reads[-1]] == ["f100.csv"]
+    assert _same(t.table(), folder, spark) and t.table().count() == 304
+    time.sleep(0.01)
+    _games(folder / "f007.csv", 9000, 5)                     # changed: its old rows are replaced
+    (folder / "f008.csv").unlink()                           # removed
+    assert t.refresh() == 1 and [os.path.basename(p) for p in reads[-1]] == ["f007.csv"]
+    assert _same(t.table(), folder, spark) and t.table().count() == 303
+    (folder / "f009.csv").unlink()
+    assert t.refresh() == 0 and _same(t.table(), folder, spark)
+    again = measured_lines(spark, str(folder))               # a later session finds it
+    assert again.refresh() == 0 and again.table().count() == 300
+
+
+def test_held_versions_stay_and_unused_builds_go(spark, folder):
+    t = measured_lines(spark, str(folder))
+    t.refresh()
+    with t.holding() as held:
+        before = held.count()
+        for f in folder.iterdir():
+            _games(f, 0, 1)
+        t.refresh()
+        assert t.collect_unused() == 0                       # the held version names the first build
+        assert held.count() == before == 300 and t.table().count() == 100
+    assert t.collect_unused() == 1
+    assert t.table().count() == 100 and _same(t.table(), folder, spark)
+    assert t.collect_unused() == 0
+
+
+def test_a_build_that_died_is_not_read(spark, folder):
+    t = measured_lines(spark, str(folder))
+    t.refresh()
+    whole = t.table()
+    whole.withColumn("_key", F.lit("x")).write.partitionBy("_key").parquet(t._rows("dead"))
+    assert _same(t.table(), folder, spark)
+    assert t.collect_unused() == 1 and _same(t.table(), folder, spark)
+
+
+def test_empty_and_emptied_folders(spark, tmp_path):
+    path = tmp_path / "games"
+    path.mkdir()
+    _games(path / "a.csv", 0, 2)
+    t = measured_lines(spark, str(path))
+    assert t.refresh() == 1 and t.table().count() == 2
+    (path / "a.csv").write_text("")
+    t.refresh()
+    assert t.table().count() == 0 and "captures" in t.table().columns
+    shutil.copy(path / "a.csv", path / "b.csv")
+    t.refresh()
+    assert t.table().count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_roll_up_gives_the_rows_of_grouping_sets(spark):
+    rows = [(k, i % 5 if i % 7 else None, i % 3 or None) for i, k in enumerate(["a", "b", None, "a", "c"] * 30)]
+    df = spark.createDataFrame(rows, "k string, m int, v int")
+    sets = {"k": ("k",), "m": ("m",), "both": ("k", "m")}
+    want = multi_keyed(df, sets, {"games": F.count(F.lit(1)), "mean_v": mean_of("v"), "mean_m": mean_of("m")})
+    got = rolled_up(df, sets, {"mean_v": "v", "mean_m": "m"})
+    assert got.columns == ["k", "m", "grouping_set", "games", "mean_v", "mean_m"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    assert rolled_up(df.where("false"), sets, {"mean_v": "v"}).count() == 0
+
+
+def test_roll_up_is_chosen_by_size(spark, star_small):
+    g = star_small.withColumn("elo_band", F.col("elo_band_mean"))
+    assert state_is_smaller(g.union(g).union(g), {"event": ("event",), "result": ("result",)})
+    assert not state_is_smaller(spark.range(1000).selectExpr("id AS a", "id AS b"), {"a": ("a",)})
+    plan = _plan(C.game_stats_rolled_up(star_small))
+    assert "Expand" not in plan and "orders" not in plan

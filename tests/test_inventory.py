@@ -20,7 +20,8 @@ OTHER_FORMS = ["avg_captures_by_elo_text", "castling_pct_by_elo_top10_text",
               "castling_pct_by_elo_top10_dash", "castling_pct_by_event_top50_dash",
               "castling_pct_by_moves_dash", "white_wins_by_opening_event",
               "draw_pct_by_opening_joined", "text_measures_by_lang", "series_name_chunks",
-              "series_name_index", "series_best_name_chunks"]
+              "series_name_index", "series_best_name_chunks", "draw_share_ranked",
+              "game_stats_rolled_up", *catalog.FILE_QUERIES]
 
 
 def test_every_catalogue_query_is_registered_with_sql():
