@@ -17,9 +17,16 @@ each of its documents shares with any other candidate; documents and pairs that
 cannot reach the threshold by that count are left out, which takes away the
 distant copies of a text that share its buckets.  Within a bucket, members are
 first compared with one pivot; buckets whose members then lie in one component
-are finished.  After ``PIVOT_ROUNDS`` pivots, the members of what is left are
-compared across components, so no link that joins two components is lost and a
-group of near copies costs one comparison per member instead of all pairs.
+are finished.  After at most ``PIVOT_ROUNDS`` pivots (fewer, once a pivot
+finishes hardly any bucket), the members of what is left are compared across
+components, so no link that joins two components is lost and a group of near
+copies costs one comparison per member instead of all pairs.
+
+That last step is the one that many far copies in the bucket of a large group
+make expensive.  A tighter bound holds it down: the shingles are dealt to
+``BLOCKS`` blocks by their fingerprint, and the intersection is no larger than
+the sum over the blocks of the smaller of the two counts.  Copies that changed
+different places of a text differ in different blocks.
 """
 
 from __future__ import annotations
@@ -39,10 +46,13 @@ THRESHOLD = 75           # per cent: 100 * intersection >= 75 * union
 BANDS, ROWS = 32, 4
 UNIVERSE = 1 << 20
 PIVOT_ROUNDS = 3
+LEAST_FINISHED = 0.1     # share of the members that a pivot must finish to have another
+BLOCKS = 64
 _CELLS_AT_ONCE = 1 << 14
 
 FEATURES = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
 SETS = "doc_id long, s1 long, shingles array<long>"
+COUNTS = "d long, s long, blocks array<short>"
 _U = np.uint64
 
 
@@ -112,15 +122,43 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "s1", "shingles"])
 
 
+def _block_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles per block that a node shares with any other (``own`` are the
+    ones that it doesn't)."""
+    top = np.iinfo(np.int16).max
+    for batch in batches:
+        counts = []
+        for x, own in zip(batch.column(2), batch.column(3)):
+            x = np.asarray(x.values)
+            if own.is_valid:
+                x = x[~np.isin(x, np.asarray(own.values))]
+            # a count that doesn't fit stands for any: the bound is then looser
+            counts.append(np.minimum(np.bincount(x & (BLOCKS - 1), minlength=BLOCKS), top).astype(np.int16))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(counts, pa.list_(pa.int16()))],
+            names=["d", "s", "blocks"])
+
+
+def _possible(p: str, q: str):
+    """Whether the sizes of two nodes, and the numbers of shingles that either
+    shares with any other node, allow the threshold."""
+    small, large = F.least(f"{p}.n", f"{q}.n"), F.greatest(f"{p}.n", f"{q}.n")
+    both = F.least(f"{p}.shared", f"{q}.shared")           # the intersection is no larger
+    return (100 * small >= THRESHOLD * large) & (
+        (100 + THRESHOLD) * both >= THRESHOLD * (F.col(f"{p}.n") + F.col(f"{q}.n")))
+
+
+def _by_blocks(p: str, q: str, a: str, b: str):
+    """The same by blocks.  A full count says nothing, so it counts as all."""
+    top = np.iinfo(np.int16).max
+    least = F.zip_with(a, b, lambda x, y: F.least(x, y).cast("long"))
+    total = F.aggregate(least, F.lit(0).cast("long"), lambda s, x: s + F.when(x == int(top), 1 << 40).otherwise(x))
+    return (100 + THRESHOLD) * total >= THRESHOLD * (F.col(f"{p}.n") + F.col(f"{q}.n"))
+
+
 def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct ordered pairs whose sizes, and numbers of shared shingles,
-    allow the threshold."""
-    lo, hi = F.least("p", "q"), F.greatest("p", "q")
-    small, large = F.least("p.n", "q.n"), F.greatest("p.n", "q.n")
-    both = F.least("p.shared", "q.shared")           # the intersection is no larger
-    possible = (100 + THRESHOLD) * both >= THRESHOLD * (F.col("p.n") + F.col("q.n"))
-    return (found.where((F.col("p") != F.col("q")) & (100 * small >= THRESHOLD * large) & possible)
-            .select(lo.alias("p"), hi.alias("q")).distinct())
+    """Distinct ordered pairs."""
+    return found.select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
 
 
 def _in_shared_buckets(rows: DataFrame) -> DataFrame:
@@ -129,15 +167,19 @@ def _in_shared_buckets(rows: DataFrame) -> DataFrame:
     return rows.join(shared, "key")
 
 
-def _supported(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _own(sets: DataFrame) -> DataFrame:
+    """The shingles of each node that no other node has."""
+    each = sets.select("doc_id", "s1", F.explode("shingles").alias("x"))
+    return (each.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "s1")).alias("o"))
+            .where("c = 1").groupBy("o.doc_id", "o.s1").agg(F.collect_list("x").alias("own")))
+
+
+def _supported(members: DataFrame, sets: DataFrame, own: DataFrame) -> DataFrame:
     """Members with ``shared``, the number of a node's shingles that any other
     node has, without those that have too few for any link."""
-    each = sets.select("doc_id", "s1", F.explode("shingles").alias("x"))
-    own = (each.groupBy("x").agg(F.count(F.lit(1)).alias("c"),
-                                 F.min(F.struct("doc_id", "s1")).alias("o"))
-           .where("c = 1").groupBy("o.doc_id", "o.s1").agg(F.count(F.lit(1)).alias("own")))
+    lone = own.select("doc_id", "s1", F.size("own").cast("long").alias("own"))
     nodes = (sets.select("doc_id", "s1", F.size("shingles").cast("long").alias("n")).distinct()
-             .join(own, ["doc_id", "s1"], "left")
+             .join(lone, ["doc_id", "s1"], "left")
              .select("doc_id", "s1", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"), "n")
              .where(100 * F.col("shared") >= THRESHOLD * F.col("n")).drop("n"))
     nodes = nodes.select(F.col("doc_id").alias("d"), F.col("s1").alias("s"), "shared")
@@ -146,6 +188,15 @@ def _supported(members: DataFrame, sets: DataFrame) -> DataFrame:
                                  .alias("node"))
 
 
+def _with_blocks(members: DataFrame, sets: DataFrame, own: DataFrame) -> DataFrame:
+    left = members.select(F.col("node.doc_id").alias("doc_id"), F.col("node.s1").alias("s1")).distinct()
+    counts = materialize(
+        sets.join(left, ["doc_id", "s1"]).dropDuplicates(["doc_id", "s1"]).join(own, ["doc_id", "s1"], "left")
+        .select("doc_id", "s1", "shingles", "own").mapInArrow(_block_counts, COUNTS), "minhash-blocks")
+    return members.join(counts, (F.col("node.doc_id") == F.col("d")) & (F.col("node.s1") == F.col("s"))) \
+        .select("key", "node", "label", "blocks")
+
+
 def confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The ``(p, q)`` pairs whose full sets reach the threshold, as ``(a, b)``
     document ids."""
@@ -179,25 +230,30 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
     nodes = materialize(members.select("node.doc_id").distinct(), "minhash-nodes")
     sets = materialize(join_keys(docs, nodes, ["doc_id"]).mapInArrow(_full_sets, SETS),
                        "minhash-sets")
-    members = materialize(_in_shared_buckets(_supported(members, sets)), "minhash-members")
+    own = materialize(_own(sets), "minhash-own")
+    members = materialize(_in_shared_buckets(_supported(members, sets, own)), "minhash-members")
 
     links = None     # confirmed so far
     tested = None    # compared so far
     label = None     # component of each linked document
-    for round_no in range(PIVOT_ROUNDS + 1):
-        if members.isEmpty():
-            break
-        if round_no < PIVOT_ROUNDS:
+    last = False     # whether what is left is compared across components
+    round_no = size = 0
+    while not members.isEmpty():
+        if not last:
             turn = F.struct(F.xxhash64("node.doc_id", F.lit(round_no)), "node")
             if round_no == 0:
                 turn = F.struct(F.lit(0), "node")
             pivot = members.groupBy("key").agg(F.min(turn).alias("t")).select(
                 "key", F.col("t.node").alias("p"))
             found = members.withColumnRenamed("node", "q").join(pivot, "key")
+            found = found.where((F.col("p") != F.col("q")) & _possible("p", "q"))
         else:
-            found = members.withColumnRenamed("node", "q").join(
-                members.withColumnRenamed("node", "p").withColumnRenamed("label", "other"), "key")
-            found = found.where((F.col("label") < F.col("other")))
+            members = materialize(_with_blocks(members, sets, own), "minhash-members")
+            found = members.select("key", F.col("node").alias("q"), "label", F.col("blocks").alias("qb")).join(
+                members.select("key", F.col("node").alias("p"), F.col("label").alias("other"),
+                               F.col("blocks").alias("pb")), "key")
+            found = found.where((F.col("label") < F.col("other")) & _possible("p", "q")
+                                & _by_blocks("p", "q", "pb", "qb"))
         found = _pairs(found)
         if tested is not None:
             found = found.join(tested, ["p", "q"], "leftanti")
@@ -207,7 +263,7 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
             links = new if links is None else links.union(new)
             tested = found if tested is None else tested.union(found)
             label = components(links, "minhash-components")
-        if round_no == PIVOT_ROUNDS:
+        if last:
             break
         # only buckets that still hold several components go on
         named = members.select("key", "node")
@@ -219,7 +275,11 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
             named = named.withColumn("label", F.col("node.doc_id"))
         mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
         mixed = mixed.where(F.col("x") < F.col("y")).select("key")
+        before = size or members.count()
         members = materialize(named.join(mixed, "key"), "minhash-members")
+        size = members.count()
+        round_no += 1
+        last = round_no == PIVOT_ROUNDS or size > (1 - LEAST_FINISHED) * before
     return reps, links
 
 

@@ -66,3 +66,46 @@ def test_shingles_of_a_batch_equal_those_of_single_texts():
     alone = [shingle_sets([t])[0] for t in texts]
     for x, y in zip(alone, shingle_sets(texts)):
         assert (x == y).all() and len(x) == len(y)
+
+
+def test_far_copies_in_the_buckets_of_a_large_group(documents, monkeypatch):
+    """Near copies of one text, and copies further from it that each lie within
+    the threshold of one another or of a few near ones only: nothing is lost,
+    and far fewer pairs are compared than lie across components."""
+    from gamestats.llm import minhash
+
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+
+    def changed(words, places, tag):
+        out = list(words)
+        for at in places:
+            out[at] = f"{tag}_{at}"
+        return out
+
+    rows = [(i, " ".join(changed(base, [rng.randrange(150)], f"n{i}"))) for i in range(150)]
+    for k in range(30):                       # far: one to three changed places, five shingles each
+        far = changed(base, rng.sample(range(10, 140), 6), f"f{k}")
+        rows.append((500 + 2 * k, " ".join(far)))
+        rows.append((501 + 2 * k, " ".join(changed(far, [rng.randrange(150)], f"g{k}"))))
+    compared = []
+    confirm = minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda sets, pairs: compared.append(pairs.count()) or confirm(sets, pairs))
+    _check(documents, rows)
+    assert sum(compared) < 0.2 * len(rows) ** 2 / 2
+
+
+def test_block_counts_bound_the_intersection(spark):
+    import pyarrow as pa
+
+    from gamestats.llm.minhash import BLOCKS, _block_counts
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(-2 ** 40, 2 ** 40, n)) for n in (5, 300, 40_000)]
+    own = [None, sets[1][:100], sets[2][::2]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array(list(sets), pa.list_(pa.int64())),
+         pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "s1", "shingles", "own"])
+    (out,) = _block_counts(iter([batch]))
+    for k, counts in enumerate(out.column(2).to_pylist()):
+        left = set(sets[k].tolist()) - set([] if own[k] is None else own[k].tolist())
+        assert counts == [sum(1 for x in left if x % BLOCKS == g) for g in range(BLOCKS)]
