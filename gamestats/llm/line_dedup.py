@@ -6,8 +6,9 @@ least one of the ``THRESHOLD + 1`` segments that one of them is cut into, at
 almost the same place: the segments of every line are indexed by length, number
 and content, and every line probes the index with the substrings that can match
 (for each length difference and segment, only the starts that the edits on
-either side allow).  Candidate pairs are confirmed by a banded bit-parallel
-edit distance: a band of ``2 * THRESHOLD + 2`` diagonals is one bit vector, and
+either side allow).  Pairs whose letter counts are further apart than the edits
+allow are none: many lines that share most of a text are told apart by that.
+Candidate pairs are confirmed by a banded bit-parallel edit distance: a band of ``2 * THRESHOLD + 2`` diagonals is one bit vector, and
 each byte of the text takes a few word operations.
 
 Everything on the path is a built-in column function.
@@ -15,7 +16,7 @@ Everything on the path is a built-in column function.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamestats.llm.common import BROADCAST_ROWS, join_keys, materialize
@@ -24,6 +25,8 @@ THRESHOLD = 2        # byte edits
 LEAST_BYTES = 40     # shorter lines are only compared for equality
 LAST = (1 << 63) - 1  # stands for a null doc_id, behind all others
 ENDS = 64            # bytes at either end that are compared before whole lines
+# Letters whose counts tell lines apart before they are compared (either case).
+CLASSES = ("e", "t", "a", "o", "i", "n", "s", "h", "r", "d", "lu", "cm", "fgw", "yp", "bvk", "xjqz")
 
 
 def _segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
@@ -63,18 +66,51 @@ def probe_keys(line: Column, length: Column, threshold: int = THRESHOLD,
     return F.array_compact(F.array(*keys))
 
 
-def candidate_pairs(lines: DataFrame, threshold: int = THRESHOLD,
-                    least: int = LEAST_BYTES) -> DataFrame:
-    """Distinct ``(r, s)`` pairs of the ``id`` of lines (``id``, ``line``)
-    that share a key."""
-    data = lines.select("id", F.col("line").cast("binary").alias("b"),
+def shared_keys(lines: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_BYTES) -> DataFrame:
+    """``(key, probe, h)`` rows of the lines (``line``) that share a key with
+    another: ``h`` is a hash that stands for the line (lines that share one are
+    told apart later), ``probe`` tells a probing row from an indexed one.  A key
+    of one line alone goes no further than the shuffle that finds it alone."""
+    data = lines.select(F.xxhash64("line").alias("h"), F.col("line").cast("binary").alias("b"),
                         F.octet_length("line").alias("n")).where(F.col("n") >= least)
-    index = data.select(F.explode(index_keys(F.col("b"), F.col("n"), threshold)).alias("key"),
-                        F.col("id").alias("r"))
-    probe = data.select(F.explode(probe_keys(F.col("b"), F.col("n"), threshold, least))
-                        .alias("key"), F.col("id").alias("s"))
+
+    def tagged(keys: Column, probe: bool) -> Column:
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(probe).alias("probe")))
+
+    each = data.select("h", F.explode(F.concat(
+        tagged(index_keys(F.col("b"), F.col("n"), threshold), False),
+        tagged(probe_keys(F.col("b"), F.col("n"), threshold, least), True))).alias("k"))
+    rows = each.select("k.key", "k.probe", "h").distinct()
+    by_key = Window.partitionBy("key")
+    return (rows.withColumn("low", F.min("h").over(by_key)).withColumn("high", F.max("h").over(by_key))
+            .where(F.col("low") < F.col("high")).select("key", "probe", "h"))
+
+
+def letter_counts(line: Column) -> Column:
+    """How often the letters of each of ``CLASSES`` occur.  An inserted or
+    deleted byte changes one count by one, a replaced byte at most two."""
+    def count(letters: str) -> Column:
+        return (F.length(line) - F.length(F.translate(line, letters + letters.upper(), ""))).cast("int")
+
+    return F.array(*[count(c) for c in CLASSES])
+
+
+def candidate_pairs(keys: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Distinct ``(r, s)`` pairs of the ``num`` of ``texts`` (``num``, ``h``,
+    ``line``) that share a key and whose lengths and letters allow the
+    threshold."""
+    known = texts.select("num", "h", F.octet_length("line").alias("n"), letter_counts(F.col("line")).alias("c"))
+    index = keys.where(~F.col("probe")).join(known, "h").select(
+        "key", F.col("num").alias("r"), F.col("n").alias("rn"), F.col("c").alias("rc"))
+    probe = keys.where("probe").join(known, "h").select(
+        "key", F.col("num").alias("s"), F.col("n").alias("sn"), F.col("c").alias("sc"))
+    apart = None
+    for k in range(len(CLASSES)):
+        here = F.abs(F.get("rc", F.lit(k)) - F.get("sc", F.lit(k)))
+        apart = here if apart is None else apart + here
     # lines of one length find each other from both sides
-    pair = index.join(probe, "key").where(F.col("r") != F.col("s"))
+    pair = index.join(probe, "key").where(
+        (F.col("r") != F.col("s")) & (F.abs(F.col("rn") - F.col("sn")) <= threshold) & (apart <= 2 * threshold))
     return pair.select(F.least("r", "s").alias("r"), F.greatest("r", "s").alias("s")).distinct()
 
 
@@ -220,22 +256,19 @@ def removed_lines(docs: DataFrame, threshold: int = THRESHOLD,
     lines = docs.select("ord", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.where(F.col("line").rlike(r"\S"))
     place = F.struct("ord", "pos")
-    first = lines.where(F.octet_length("line") >= least).groupBy("line").agg(F.min(place).alias("id"))
-    pairs = materialize(candidate_pairs(first, threshold, least), "line-pairs")
-
-    # texts of the lines in a pair, taken again from their documents
-    ends = pairs.select(F.col("r").alias("id")).union(pairs.select(F.col("s").alias("id"))).distinct()
-    ends = materialize(ends.groupBy("id.ord").agg(F.collect_list("id.pos").alias("places")),
-                       "line-ends")
+    long = lines.where(F.octet_length("line") >= least)
+    keys = materialize(shared_keys(long, threshold, least), "line-keys")
+    # the lines that share a key, with the place of their first occurrence
+    held = materialize(keys.select("h").distinct(), "line-hashes")
     texts = materialize(
-        join_keys(docs, ends, ["ord"], "inner")
-        .select("ord", F.split("text", "\n", -1).alias("all"), F.explode("places").alias("pos"))
-        .select(F.struct("ord", "pos").alias("id"), F.get("all", F.col("pos")).alias("line"))
-        .groupBy("id").agg(F.any_value("line").alias("line")), "line-texts")
-    a = texts.select(F.col("id").alias("r"), F.col("line").cast("binary").alias("a"))
-    b = texts.select(F.col("id").alias("s"), F.col("line").cast("binary").alias("b"))
+        join_keys(long.withColumn("h", F.xxhash64("line")), held, ["h"])
+        .groupBy("h", "line").agg(F.min(place).alias("id"))
+        .withColumn("num", F.monotonically_increasing_id()), "line-texts")
+    pairs = materialize(candidate_pairs(keys, texts, threshold), "line-pairs")
+    a = texts.select(F.col("num").alias("r"), F.col("line").cast("binary").alias("a"), F.col("id").alias("ra"))
+    b = texts.select(F.col("num").alias("s"), F.col("line").cast("binary").alias("b"), F.col("id").alias("sb"))
     later = (pairs.join(a, "r").join(b, "s").where(within(F.col("a"), F.col("b"), threshold))
-             .select(F.col("s").alias("id")).distinct())
+             .select(F.greatest("ra", "sb").alias("id")).distinct())
     near = texts.join(later, "id").select(*_line_hash(F.col("line")), "id",
                                           F.lit(True).alias("near"))
 
@@ -275,6 +308,7 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_B
       read several times: a line at the place of its first occurrence stays in
       each of them.  Equal rows without a ``doc_id`` are several documents: the
       lines of all but one are repetitions.
+    * Input columns named like one of the counts are replaced.
     * An empty table gives an empty result.
     """
     order = _identity(docs)
@@ -313,5 +347,5 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_B
         *[F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long").alias(f"_{n}")
           for n, c in counts.items()])
     return joined.select(
-        *[(F.col("_text") if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns],
-        *[F.col(f"_{n}").alias(n) for n in counts if n not in docs.columns])
+        *[(F.col("_text") if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns if c not in counts],
+        *[F.col(f"_{n}").alias(n) for n in counts])

@@ -94,3 +94,35 @@ def test_distance(spark):
     df = spark.createDataFrame(pairs, "a string, b string").where("length(b) > 2")
     rows = df.withColumn("w", within(F.col("a").cast("binary"), F.col("b").cast("binary"), 2)).collect()
     assert [r.w for r in rows] == [edit_distance(r.a, r.b) <= 2 for r in rows]
+
+
+def test_counts_replace_columns_of_their_names(spark):
+    docs = spark.createDataFrame([(1, "same line here\nx", 5, "a"), (2, "same line here\ny", 6, "b")],
+                                 "doc_id long, text string, n_removed int, n_near string")
+    got = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["n_removed"] == 1 and got[2]["text"] == "y"
+    assert got[2]["n_near"] == 0
+
+
+def test_a_large_group_of_lines_that_share_most_of_a_text(spark, monkeypatch):
+    """Each line differs from the others by a word: few pairs are compared, and
+    the near ones among them are found."""
+    from gamestats.llm import line_dedup as module
+    from llm.brute import removed_lines as plain
+
+    rng = random.Random(6)
+    words = "the quick brown fox jumps over the lazy dog while seven wizards boil daft pots".split()
+    rows = []
+    for i in range(110):
+        line = list(words)
+        line[rng.randrange(len(line))] = "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+        rows.append((i, " ".join(line) + ("" if i % 10 else "s")))
+    rows += [(1000 + i, rows[i * 7][1][:-1]) for i in range(12)]
+    seen = []
+    written = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: (
+        lambda out: seen.append(out.count()) or out if name == "line-pairs" else out)(written(df, name)))
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0")
+    gone, _ = plain(rows)
+    assert {r["doc_id"] for r in got.collect()} == {i for i, _ in gone}
+    assert seen[0] < 0.1 * len(rows) ** 2 / 2
