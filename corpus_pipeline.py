@@ -29,9 +29,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated lines.  A document of which no visible line is
     left goes; one that had none stays."""
-    cut = line_dedup(docs)
+    # the document's own columns may be named like the operator's counts
+    own = {c: f"_{k}_{c}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    cut = line_dedup(docs.withColumnsRenamed(own))
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
-    return cut.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    kept = cut.where(~F.coalesce(emptied, F.lit(False)))
+    return kept.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
