@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gamestats.llm import covertree
 from gamestats.llm.covertree import top_k_search
 from gamestats.llm.langid import identify, keep_identified
 from gamestats.llm.mixing import mix
@@ -105,6 +106,57 @@ def test_top_k(spark):
     assert top_k_search(df.where("vec_id = 50")).count() == 0          # no other row
 
 
+def _brute_top_k(rows, every=50, k=5):
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for at, (q, v) in enumerate(whole):
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i)
+                            for n, (i, w) in enumerate(whole) if n != at)[:k]
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    return sorted(want)
+
+
+def test_top_k_keeps_rows_that_repeat_an_id(spark):
+    rng = random.Random(4)
+    rows = [(0, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [0.5, 0.0]), (8, [0.5, 0.0]), (50, [0.0, 1.0]),
+            (50, [0.0, 1.0]), (50, [1.0, 1.0])]
+    rows += [(rng.randrange(60, 90), [rng.randrange(-4, 5) / 4, rng.randrange(-4, 5) / 4]) for _ in range(80)]
+    odd = [(100, [float("inf"), 0.0]), (101, [float("-inf"), 0.0]), (None, [9.0, 9.0]), (150, [None, 1.0])]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(map(tuple, top_k_search(df).collect())) == _brute_top_k(rows)
+
+
+def test_top_k_of_vectors_of_several_lengths(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1.0]), (2, []), (3, [1.0, 0.5, 4.0]), (50, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    padded = [(i, (v + [0.0] * 3)[:3]) for i, v in rows]
+    assert sorted(map(tuple, top_k_search(df).collect())) == _brute_top_k(padded)
+
+
+def test_top_k_over_several_groups_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "GROUP", 4)
+    monkeypatch.setattr(covertree, "CHUNK", 40)
+    monkeypatch.setattr(covertree, "CELLS", 3)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert sorted(map(tuple, top_k_search(df, every=10).collect())) == _brute_top_k(rows, 10)
+
+
+def test_search_prunes_clustered_vectors():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 400, (24, 6))
+    data = np.floor(centres[rng.integers(0, 24, 3000)] + rng.normal(0, 6, (3000, 6))).astype(np.int64)
+    asked = np.arange(0, 3000, 50)
+    top = covertree.dual_search(data[asked], asked, np.full(len(asked), -np.inf), data, np.arange(3000), 5)
+    assert top.products < len(asked) * len(data) / 2
+    scores = data[asked] @ data.T
+    scores[np.arange(len(asked)), asked] = np.iinfo(np.int64).min
+    for row, ids in zip(scores, top.id):
+        assert ids.tolist() == np.lexsort((np.arange(3000), -row))[:5].tolist()
+
+
 def test_warc(spark):
     rows = [(1, "u1", "<p>a</p>"), (2, "u2", "<p>a</p>"), (3, "u3", None), (4, "u4", ""),
             (5, None, "é\r\n\r\nWARC/1.1\r\n"), (6, "u6", "x" * 100_000)]
