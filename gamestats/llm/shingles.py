@@ -25,7 +25,7 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _PLACE = _rng.integers(1, 2 ** 64, WORDS, dtype=_U) | _U(1)
 _BASE = int(_rng.integers(1, 2 ** 63)) * 2 + 1
 _BASE_INVERSE = pow(_BASE, -1, 2 ** 64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []   # one pair, replaced when it is too short
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,16 +40,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, at least ``n`` of them."""
-    size = max(1 << 16, 1 << (n - 1).bit_length())
-    if size not in _powers:
+    if not _powers or len(_powers[0][0]) < n:
+        size = max(1 << 16, 1 << (n - 1).bit_length())
         out = []
         for base in (_BASE, _BASE_INVERSE):
             p = np.full(size, _U(base & (2 ** 64 - 1)), _U)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-        _powers.clear()
-        _powers[size] = (out[0], out[1])
-    return _powers[size]
+        _powers[:] = [(out[0], out[1])]
+    return _powers[0]
 
 
 def _word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -36,13 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamestats.llm.common import BROADCAST_ROWS, materialize, ship_package
+from gamestats.llm.common import (
+    BROADCAST_ROWS,
+    materialize,
+    ship_package,
+    with_global_rank,
+)
 from gamestats.llm.shingles import BYTE, mix, power_tables, slices
 
 LENGTH = 100                    # bytes
 CORE = 50                       # bytes hashed at an anchor
 WINDOWS = LENGTH - CORE + 1     # windows around an anchor
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10         # text hashed at a time: some 100 bytes of memory for each
 FLUSH = 400_000                 # anchors combined in a map task at a time
 BUCKET_BYTES = 8 << 20          # text whose anchors share a bucket, on average,
 MANY_BUCKETS = 1024             # up to so many buckets;
@@ -149,7 +154,7 @@ def _map_anchors(buckets: int):
         rec, bucket = rec[order], bucket[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(rec) else np.empty(0, int)
         blobs = [rec[a:b].tobytes() for a, b in zip(cuts, np.r_[cuts[1:], len(rec)])]
-        none = [None] * len(blobs)
+        none = [0] * len(blobs)      # not null: pandas would turn the ids into floats
         # covered intervals travel beside the records, spread over the buckets
         side = (doc % buckets).astype(np.int32)
         return pa.RecordBatch.from_arrays([
@@ -191,7 +196,7 @@ def _judge_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     blobs = [b for b in pdf["records"] if b is not None]
     rec = np.concatenate([np.frombuffer(b, _RECORD) for b in blobs]) if blobs else np.empty(0, _RECORD)
     rec, rest = _classes(rec)
-    given = pdf["doc_id"].notna().to_numpy()
+    given = pdf["records"].isna().to_numpy()
     doc = np.concatenate([rest["doc"], pdf["doc_id"][given].to_numpy(np.int64)])
     lo = np.concatenate([rest["at"] - rest["lo"], pdf["lo"][given].to_numpy(np.int64)])
     hi = np.concatenate([rest["at"] + rest["hi"], pdf["hi"][given].to_numpy(np.int64)])
@@ -367,7 +372,7 @@ def covered_bytes(docs: DataFrame) -> DataFrame:
         return covered
     wanted = materialize(several.groupBy("doc_id").agg(
         F.collect_list(F.struct("lo", "hi", "at", "core")).alias("x")), "anchor-places")
-    if n <= 4 * BROADCAST_ROWS:
+    if n <= BROADCAST_ROWS:          # places of 24 bytes
         wanted = F.broadcast(wanted)
     contexts = materialize(
         docs.join(wanted, "doc_id").select("doc_id", F.col("text").cast("binary").alias("b"),
@@ -429,31 +434,42 @@ def suffix_dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     * Texts are UTF-8 bytes, a null text none; a text below 100 bytes has
       nothing to remove.
-    * A row with a null ``doc_id`` has no place in the order: it is returned
-      whole and hides nothing.
     * Rows that repeat a ``doc_id`` and its text are one document, and each gets
       its result.  Of rows that repeat a ``doc_id`` with different texts, those
-      with the smallest hash of the text are the document; the others are
-      returned whole and hide nothing.
+      with the smallest hash of the text are the document.
+    * The other ones, and rows with a null ``doc_id``, are documents of their
+      own that come after all these, by ``doc_id`` (null last) and hash of the
+      text: each is cut like any document.
     * An empty table gives an empty result.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named = docs.where(F.col("doc_id").isNotNull())
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    odd = materialize(named.select("doc_id", mark.alias("mark")).groupBy("doc_id")
-                      .agg(F.min("mark").alias("mark"), F.max("mark").alias("other"))
-                      .where(F.col("mark") != F.col("other")).select("doc_id", "mark"), "odd-ids")
-    whole = docs.where(F.col("doc_id").isNull())
-    if not odd.isEmpty():            # rows that don't stand for their id
-        marked = named.withColumn("_mark", mark).join(odd, "doc_id", "left")
-        stands = F.col("mark").isNull() | (F.col("mark") == F.col("_mark"))
-        whole = whole.union(marked.where(~stands).select("doc_id", "text"))
-        named = marked.where(stands).select("doc_id", "text")
-    per_doc = materialize(covered_bytes(named).groupBy("doc_id").agg(
+    ids = materialize(docs.select("doc_id", mark.alias("mark")).groupBy("doc_id")
+                      .agg(F.min("mark").alias("mark"), F.max("mark").alias("other"),
+                           F.count(F.lit(1)).alias("n"))
+                      .where(F.col("doc_id").isNull() | (F.col("mark") != F.col("other"))), "odd-ids")
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("place", F.col("doc_id"))
+    if not ids.isEmpty():            # rows that don't stand for their id
+        marked = (docs.withColumn("_mark", mark)
+                  .join(ids.select("doc_id", "mark").where(F.col("doc_id").isNotNull()), "doc_id", "left"))
+        stands = F.col("doc_id").isNotNull() & (F.col("mark").isNull() | (F.col("mark") == F.col("_mark")))
+        named = marked.where(stands).select("doc_id", "text", F.col("doc_id").alias("place"))
+        stray = with_global_rank(
+            marked.where(~stands).select("doc_id", "text", "_mark")
+            .withColumn("_tie", F.monotonically_increasing_id()),
+            [F.col("doc_id").asc_nulls_last(), F.col("_mark"), F.col("_tie")], "_rank")
+        top = docs.agg(F.max("doc_id")).first()[0] or 0
+        # places beyond the largest id; ids near the end of the range move down
+        room = 2 ** 63 - 2 - top - (ids.agg(F.sum("n")).first()[0] or 0)
+        named = named.withColumn("place", F.col("place") + F.lit(min(0, room)))
+        named = named.unionByName(stray.select(
+            "doc_id", "text", (F.col("_rank") + F.lit(top + 1 + min(0, room))).alias("place")))
+    spans = covered_bytes(named.select(F.col("place").alias("doc_id"), "text"))
+    per_doc = materialize(spans.groupBy(F.col("doc_id").alias("place")).agg(
         F.collect_list(F.struct("lo", "hi")).alias("cuts"), F.count(F.lit(1)).alias("n")), "cuts")
-    if (per_doc.agg(F.sum("n")).first()[0] or 0) <= 4 * BROADCAST_ROWS:
+    if (per_doc.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_ROWS:
         per_doc = F.broadcast(per_doc)
-    cut = named.join(per_doc.drop("n"), "doc_id", "left").select("doc_id", "text", "cuts")
-    out = cut.unionByName(whole, allowMissingColumns=True).mapInArrow(_apply_cuts(with_text), _DIGEST)
+    cut = named.join(per_doc.drop("n"), "place", "left").select("doc_id", "text", "cuts")
+    out = cut.mapInArrow(_apply_cuts(with_text), _DIGEST)
     return out if with_text else out.drop("text")
