@@ -4,20 +4,22 @@ Every text is normalised (A-Z lower-cased) and addressed by a 64-bit key.  The
 keys are kept in buckets of bounded size: a directory of ``2^depth`` slots maps
 the leading bits of a key to its bucket; while a bucket is overfull the
 directory doubles and that bucket is split by one more bit.  The index is
-written to the shared checkpoint folder, sorted by bucket and key, and its key
-ranges are processed by separate tasks.  Entries with the same key are chained
-(told apart by length and SHA-256), and the texts of every chain link with more
-than one document are compared byte for byte.
+written to the shared checkpoint folder, sorted by bucket and key.
 
-Copies are combined before every shuffle, so a text that fills a third of the
-table reaches a task as one row per map task.
+The texts of keys with several documents are dealt by ranges of (bucket, key) to
+owner tasks.  An owner chains the different texts of a key, comparing them byte
+for byte, and each link of a chain gives its documents' ``keep_id`` and
+``group_size``.
+
+Copies are combined before they are dealt, into at most ``PARTS`` rows a text,
+so a text that fills a third of the table doesn't fill its owner.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamestats.llm.common import ascii_lower, join_keys, materialize
@@ -25,6 +27,7 @@ from gamestats.llm.common import ascii_lower, join_keys, materialize
 KEY_BITS = 64
 BUCKET_KEYS = 8192  # capacity of a bucket, in distinct keys
 ADDRESS = ["key", "n_bytes", "digest"]
+PARTS = 16          # rows, at most, that the copies of a text are combined into
 
 
 def default_key(norm: Column) -> Column:
@@ -71,10 +74,9 @@ def build_directory(keys: DataFrame, capacity: int = BUCKET_KEYS) -> tuple[DataF
 
 
 def build_index(entries: DataFrame, capacity: int = BUCKET_KEYS) -> DataFrame:
-    """The index: one row per chain link ``(key, n_bytes, digest)`` with the
-    number of its documents and the largest ``doc_id``, filed under its bucket."""
-    links = materialize(entries.groupBy(*ADDRESS).agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "links")
+    """The index: one row per address ``(key, n_bytes, digest)`` with the
+    number ``n`` of its documents, filed under its bucket."""
+    links = materialize(entries.groupBy(*ADDRESS).agg(F.count(F.lit(1)).alias("n")), "links")
     directory, depth = build_directory(links.select("key").distinct(), capacity)
     filed = (links.withColumn("slot", _leading(F.col("key"), depth))
              .join(directory, "slot").drop("slot"))
@@ -82,6 +84,21 @@ def build_index(entries: DataFrame, capacity: int = BUCKET_KEYS) -> DataFrame:
                        .sortWithinPartitions("bucket", "key"), "index")
 
 
+def own_chains(copies: DataFrame) -> DataFrame:
+    """The chains of the buckets: ``copies`` (``bucket``, address, ``norm``,
+    ``keep_id``, ``group_size``; several rows a text) are dealt by ranges of
+    (bucket, key), and what follows happens in the owner of a range, without
+    another shuffle.  A row per link: a text of a key, ``chain`` its number
+    among them, ``texts`` the number of texts at its address."""
+    link = ["bucket", *ADDRESS, "norm"]
+    owned = copies.repartitionByRange("bucket", "key")
+    links = owned.groupBy(*link).agg(F.max("keep_id").alias("keep_id"),
+                                     F.sum("group_size").alias("group_size"))
+    chain = Window.partitionBy("bucket", "key").orderBy("n_bytes", "digest", "norm")
+    return (links.withColumn("chain", F.row_number().over(chain))
+            .withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("bucket", *ADDRESS))))
+
+
 def exact_dedup(docs: DataFrame, key=default_key, digest=None,
                 capacity: int = BUCKET_KEYS) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)`` per row of ``docs``
@@ -107,27 +124,23 @@ def exact_dedup(docs: DataFrame, key=default_key, digest=None,
     sha = F.sha2(F.col("norm"), 256).alias("text_sha256")
     entries = materialize(base.select("doc_id", *ADDRESS, sha), "entries")
     index = build_index(entries, capacity)
-    shared = materialize(index.where(F.col("group_size") > 1).select(*ADDRESS), "shared-links")
-
-    # byte comparison: the texts of links with several documents, one row per
-    # different text; copies are combined in the map tasks
-    texts = (join_keys(base, shared, ADDRESS)
-             .groupBy(*ADDRESS, "norm")
-             .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    compared = materialize(
-        texts.drop("norm").groupBy(*ADDRESS)
-        .agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"),
-             F.sum("group_size").alias("group_size")), "compared")
-    groups = compared.where(F.col("texts") == 1).drop("texts")
-    collided = compared.where(F.col("texts") > 1).select(*ADDRESS)
+    shared = materialize(index.where(F.col("n") > 1).select("bucket", *ADDRESS), "shared-links")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part")
+    copies = (join_keys(base, shared, ADDRESS, "inner")
+              .groupBy("bucket", *ADDRESS, "norm", part)
+              .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    # a text is kept only where others share its whole address
+    chains = materialize(own_chains(copies).withColumn(
+        "norm", F.when(F.col("texts") > 1, F.col("norm"))), "chains")
+    groups = chains.where(F.col("texts") == 1).select(*ADDRESS, "keep_id", "group_size")
+    collided = chains.where(F.col("texts") > 1).select(*ADDRESS, "norm", "keep_id", "group_size")
 
     found = entries.join(groups, ADDRESS, "left")
     if not collided.isEmpty():  # different texts share a whole address: told apart by text
-        collided = materialize(collided, "collided")
-        some = join_keys(base, collided, ADDRESS).withColumn("text_sha256", sha)
-        apart = some.join(
-            join_keys(texts, collided, ADDRESS), [*ADDRESS, "norm"]).drop("norm")
-        found = join_keys(found, collided, ADDRESS, "leftanti").unionByName(apart)
+        addresses = materialize(collided.select(*ADDRESS).distinct(), "collided")
+        some = join_keys(base, addresses, ADDRESS).withColumn("text_sha256", sha)
+        apart = some.join(collided, [*ADDRESS, "norm"]).drop("norm")
+        found = join_keys(found, addresses, ADDRESS, "leftanti").unionByName(apart)
     single = F.col("group_size").isNull()
     out = found.select(
         "doc_id",

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from gamestats.llm.common import ascii_lower
-from gamestats.llm.exact_dedup import build_directory, exact_dedup
+from gamestats.llm.exact_dedup import build_directory, exact_dedup, own_chains
 
 ROWS = [(1, "Abc"), (2, "aBC"), (3, None), (4, ""), (5, "É"), (6, "é"), (7, "x" * 200_000),
         (8, "X" * 200_000), (9, "abd"), (9, "abd"), (None, "abc"), (None, "zz"), (10, "q"), (11, " q")]
@@ -38,6 +38,19 @@ def test_colliding_hashes_and_splitting_buckets(documents):
     assert _found(weak) == _expected(rows)
 
 
+def test_owners_chain_without_another_shuffle(spark):
+    rows = [(b, k, 1, b"d", t, i, n) for b, k, t, i, n in [
+        (0, 5, "x", 1, 2), (0, 5, "x", 9, 1), (0, 5, "y", 4, 3), (0, 6, "x", 2, 2), (1, 7, "z", None, 4)]]
+    copies = spark.createDataFrame(rows, "bucket long, key long, n_bytes int, digest binary, norm string, "
+                                         "keep_id long, group_size long").repartition(3)
+    chains = own_chains(copies)
+    got = sorted((r.bucket, r.key, r.chain, r.norm, r.keep_id, r.group_size, r.texts) for r in chains.collect())
+    assert got == [(0, 5, 1, "x", 9, 3, 2), (0, 5, 2, "y", 4, 3, 2), (0, 6, 1, "x", 2, 2, 1),
+                   (1, 7, 1, "z", None, 4, 1)]
+    plan = own_chains(copies)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(bucket" in plan and "hashpartitioning" not in plan
+
+
 def test_directory_covers_every_key_within_capacity(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
     directory, depth = build_directory(keys, capacity=50)
