@@ -109,10 +109,9 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, most: int = SEQUENCE
     """A row per piece of each row of ``docs`` (``doc_id``, ``text``); with
     ``with_ids`` also the ids themselves."""
     ship_package(docs.sparkSession)
-    path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode = _encoder(tokenizer or default_tokenizer())    # the executor's own file
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
