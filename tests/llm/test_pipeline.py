@@ -1,0 +1,103 @@
+"""The pipeline and its stages against plain versions on small tables."""
+
+import random
+import zlib
+
+import corpus_pipeline as P
+import pytest
+from llm.brute import near_components, removed_lines
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, n_removed int, kept string, size int"
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(i, t, None, "s", len(t or ""), 7, "x", 1) for i, t in rows],
+                                 COLUMNS).repartition(3)
+
+
+def _documents():
+    rng = random.Random(21)
+    line = lambda n=12: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(999)}" for _ in range(n))
+    common, body = line(), [line(30) for _ in range(6)]
+    rows = [(10 * i, "\n".join([line(), common, line(), line(40)])) for i in range(1, 12)]
+    rows += [(k, t) for k, t in ((201, "12 34\n--"), (202, None), (203, ""), (204, common), (205, " \n\t"),
+                                 (206, "word"), (207, line(3000)))]
+    copy = [(301, "\n".join(body)), (302, " ".join(body)), (303, " ".join(body) + " tail")]
+    return rows + copy
+
+
+def _cut(rows):
+    gone = removed_lines(rows)[0]
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        left = "\n".join(x for k, x in enumerate(lines) if (i, k) not in gone)
+        emptied = len(left) < len(text or "") and not left.strip(" \t\n\x0b\f\r")
+        if not emptied:
+            out.append((i, text if text is None else left))
+    return out
+
+
+def _near(rows):
+    return [(i, t) for i, t in rows if near_components(rows)[i][1] == i]
+
+
+def _found(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_line_stage(spark):
+    rows = _documents()
+    out = P.lines(spark, _table(spark, rows), "")
+    assert out.columns == _table(spark, rows).columns
+    assert _found(out) == sorted(_cut(rows), key=str)
+    assert {(r.n_removed, r.kept, r.size) for r in out.collect()} == {(7, "x", 1)}
+
+
+def test_near_stage(spark):
+    rows = _documents()
+    out = P.near_duplicates(spark, _table(spark, rows), "")
+    want = _near([(i, t or "") for i, t in rows])
+    assert out.columns == _table(spark, rows).columns
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, _ in want)
+
+
+def test_mixture_stage_copies_rows(spark):
+    rows = [*_documents(), (None, "no id"), (None, None), (400, "twice the same"), (400, "twice the same")]
+    out = P.mixture(spark, _table(spark, rows), "").collect()
+    count = {r: rows.count(r) for r in rows}
+    for (i, text), n in count.items():          # one source at a rate of 1.5: once or twice each
+        assert n <= sum((r.doc_id, r.text) == (i, text) for r in out) <= 2 * n
+    words = sum(len((r.text or "").split()) for r in out)
+    assert abs(words - 1.5 * sum(len((t or "").split()) for _, t in rows)) <= 3000
+
+
+@pytest.mark.parametrize("name, stage", P.STAGES)
+def test_stages_on_an_empty_table(spark, name, stage):
+    assert stage(spark, _table(spark, [(1, "a")]).where("false"), "").count() == 0
+
+
+def test_run(spark, tmp_path):
+    from gamestats.llm.packing import default_tokenizer
+    from tokenizers import Tokenizer
+
+    rows = _documents()
+    _table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = P.run(spark, str(tmp_path)).collect()
+    lettered = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    encode = Tokenizer.from_file(default_tokenizer()).encode
+    want = {}
+    for i, text in _near(_cut(lettered)):
+        ids = [*encode(text, add_special_tokens=False).ids, 0]
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[i, piece, a, b - a, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[a:b]))] = 0
+    for r in got:
+        want[r.doc_id, r.piece, r.start, r.length, r.ids_crc32] += 1
+    assert set(want.values()) <= {1, 2}          # the mix takes each once or twice
+    fill = {}
+    for r in got:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in fill.values():
+        ends = [0, *(a + n for a, n in sorted(places))]
+        assert [a for a, _ in sorted(places)] == ends[:-1] and ends[-1] <= 2048
