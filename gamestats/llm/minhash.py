@@ -191,7 +191,7 @@ def _supported(members: DataFrame, sets: DataFrame, own: DataFrame) -> DataFrame
 def _with_blocks(members: DataFrame, sets: DataFrame, own: DataFrame) -> DataFrame:
     left = members.select(F.col("node.doc_id").alias("doc_id"), F.col("node.s1").alias("s1")).distinct()
     counts = materialize(
-        sets.join(left, ["doc_id", "s1"]).dropDuplicates(["doc_id", "s1"]).join(own, ["doc_id", "s1"], "left")
+        sets.join(left, ["doc_id", "s1"]).join(own, ["doc_id", "s1"], "left")
         .select("doc_id", "s1", "shingles", "own").mapInArrow(_block_counts, COUNTS), "minhash-blocks")
     return members.join(counts, (F.col("node.doc_id") == F.col("d")) & (F.col("node.s1") == F.col("s"))) \
         .select("key", "node", "label", "blocks")
@@ -213,27 +213,50 @@ def confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
             .where(100 * F.col("both") >= THRESHOLD * F.col("any")).select("a", "b"))
 
 
-def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Representatives of equal sets, and confirmed links that connect what the
-    threshold connects."""
+def _representatives(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct set, and per ``doc_id`` its ``rows`` and the
+    representative of its set (``low`` to ``high`` if its rows have several)."""
     usable = features.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    reps = usable.groupBy("s1", "s2", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
-    reps = materialize(reps, "minhash-reps")
+    reps = materialize(usable.groupBy("s1", "s2", "n_shingles").agg(
+        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "minhash-reps")
+    named = _represented(features, reps).groupBy("doc_id").agg(
+        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("rows"))
+    return reps, materialize(named, "minhash-named")
+
+
+def _represented(features: DataFrame, reps: DataFrame) -> DataFrame:
+    """``(doc_id, rep)`` of every row that has a set."""
+    usable = features.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    return usable.select("doc_id", "s1", "s2", "n_shingles").join(
+        reps.select("s1", "s2", "n_shingles", "rep"), ["s1", "s2", "n_shingles"]).select("doc_id", "rep")
+
+
+def _linked(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links: the ones found so far are stars already."""
+    edges = links.select("a", "b")
+    if label is not None:
+        edges = edges.union(label.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return components(edges, "minhash-components")
+
+
+def link_components(docs: DataFrame, reps: DataFrame, named: DataFrame) -> DataFrame | None:
+    """``(node, component)`` of the representatives that the threshold
+    connects, by confirmed links; None if no two of them share a bucket."""
     rows = reps.select(
         F.explode("bands").alias("key"),
         F.struct(F.col("rep").alias("doc_id"), "s1", F.col("n_shingles").alias("n")).alias("node"))
     members = materialize(_in_shared_buckets(rows), "minhash-members")
     if members.isEmpty():
-        return reps, None
+        return None
     # the full sets of the documents in shared buckets, shingled again
     nodes = materialize(members.select("node.doc_id").distinct(), "minhash-nodes")
-    sets = materialize(join_keys(docs, nodes, ["doc_id"]).mapInArrow(_full_sets, SETS),
-                       "minhash-sets")
+    sets = join_keys(docs, nodes, ["doc_id"]).mapInArrow(_full_sets, SETS)
+    if not named.where("rows > 1").isEmpty():
+        sets = sets.dropDuplicates(["doc_id", "s1"])      # a set once, however often its row repeats
+    sets = materialize(sets, "minhash-sets")
     own = materialize(_own(sets), "minhash-own")
     members = materialize(_in_shared_buckets(_supported(members, sets, own)), "minhash-members")
 
-    links = None     # confirmed so far
     tested = None    # compared so far
     label = None     # component of each linked document
     last = False     # whether what is left is compared across components
@@ -260,9 +283,9 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
         found = materialize(found, "minhash-pairs")
         if not found.isEmpty():
             new = materialize(confirm(sets, found), "minhash-links")
-            links = new if links is None else links.union(new)
             tested = found if tested is None else tested.union(found)
-            label = components(links, "minhash-components")
+            if not new.isEmpty():
+                label = _linked(label, new)
         if last:
             break
         # only buckets that still hold several components go on
@@ -280,7 +303,7 @@ def near_links(docs: DataFrame, features: DataFrame) -> tuple[DataFrame, DataFra
         size = members.count()
         round_no += 1
         last = round_no == PIVOT_ROUNDS or size > (1 - LEAST_FINISHED) * before
-    return reps, links
+    return label
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -301,14 +324,18 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     features = materialize(docs.mapInArrow(_features, FEATURES), "minhash-features")
-    reps, links = near_links(docs, features)
-    same = (features.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-            .join(reps.select("s1", "s2", "n_shingles", "rep"), ["s1", "s2", "n_shingles"])
-            .where(F.col("doc_id") != F.col("rep"))
-            .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    found = components(same if links is None else same.union(links), "minhash-components")
-    out = (features.select("doc_id", "n_shingles")
-           .join(found, F.col("doc_id") == F.col("node"), "left")
-           .select("doc_id", "n_shingles",
-                   F.coalesce("component", "doc_id").alias("component_id")))
+    reps, named = _representatives(features)
+    label = link_components(docs, reps, named)
+    several = named.where("low < high")
+    if not several.isEmpty():                   # rows with one id and different sets are one node
+        ties = _represented(features, reps).join(several.select("doc_id", "low"), "doc_id").where(
+            F.col("rep") != F.col("low")).select(F.col("rep").alias("a"), F.col("low").alias("b"))
+        label = _linked(label, ties)
+    found = named.select("doc_id", F.col("low").alias("component"))
+    if label is not None:
+        # a representative is its set's smallest id, so their smallest is the component's
+        found = named.join(label, F.col("low") == F.col("node"), "left").select(
+            "doc_id", F.coalesce("component", "low").alias("component"))
+    out = features.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

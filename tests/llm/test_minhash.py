@@ -48,6 +48,26 @@ def test_repeated_and_unnamed_rows(documents):
     assert got == [("2", "2", True), ("2", "2", True), ("3", "2", False), ("None", "None", True)]
 
 
+def test_one_id_with_different_texts_joins_their_groups(documents):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup(documents(
+        [(9, x), (9, y), (9, y), (9, ""), (4, x), (5, y + " tail"), (6, z), (7, z + " more"), (8, None)])).collect())
+    assert got == [(4, 4, True), (5, 4, False), (6, 6, True), (7, 6, False), (8, 8, True)] + 4 * [(9, 4, False)]
+
+
+def test_a_row_repeated_many_times_is_compared_once(documents, monkeypatch):
+    from gamestats.llm import minhash
+
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, base)] * 200 + [(k, base + f" t{k}") for k in (1, 2, 7)]
+    made = []
+    confirm = minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda sets, pairs: made.append(
+        confirm(sets, pairs).count()) or confirm(sets, pairs))
+    got = {(r.doc_id, r.component_id) for r in near_dedup(documents(rows)).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (7, 1)} and sum(made) <= 6
+
+
 def test_empty_table(documents):
     assert near_dedup(documents([(1, "a")]).where("false")).count() == 0
 
