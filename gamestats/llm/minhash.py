@@ -48,7 +48,8 @@ UNIVERSE = 1 << 20
 PIVOT_ROUNDS = 3
 LEAST_FINISHED = 0.1     # share of the members that a pivot must finish to have another
 BLOCKS = 64
-_CELLS_AT_ONCE = 1 << 14
+_CELLS_AT_ONCE = 1 << 13
+SLICE_BYTES = 1 << 19      # text shingled at once; the tables for it take 16 times as much
 
 FEATURES = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
 SETS = "doc_id long, s1 long, shingles array<long>"
@@ -96,7 +97,7 @@ def _batches(batches: Iterator[pa.RecordBatch]):
         ids = batch.column(0).to_pylist()
         texts = batch.column(1)
         rows = ((i, (texts[k].as_py() or "").encode()) for k, i in enumerate(ids))
-        for part in slices(rows):
+        for part in slices(rows, SLICE_BYTES):
             yield [r[0] for r in part], shingle_sets([r[1] for r in part])
 
 
