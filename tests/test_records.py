@@ -50,6 +50,41 @@ def test_quoted_line_breaks_equal_a_plain_parser(spark, tmp_path, small_blocks):
     assert have == sorted(want + long)
 
 
+@pytest.mark.parametrize("blocks", [True, False])
+def test_records_over_the_edges_of_batches(spark, tmp_path, request, blocks):
+    if blocks:
+        request.getfixturevalue("small_blocks")
+    rng = random.Random(2)
+    want = []
+    for f in range(4):
+        rows = [[f"{f}-{i}", _cell(rng, ["a", "\n", '"', "\n\n", "é"]), _cell(rng, ["b", '"', ","]), "z"] for i in range(60)]
+        _write(tmp_path / f"f{f}.csv", rows)
+        want += rows
+    for rows_of_batch in ("1", "3"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_of_batch)
+        try:
+            got = parsed(quoted_records(spark, str(tmp_path)), CELLS).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted([r["a"], r["b"] or "", r["c"] or "", r["d"]] for r in got) == sorted(want)
+
+
+def test_the_lines_of_records_are_neither_shuffled_nor_written(spark, tmp_path, monkeypatch):
+    """Only blocks, and the pieces at the edges of batches, are."""
+    from gamestats.sources import records
+
+    _write(tmp_path / "f.csv", [[str(i), "two\nlines" if i % 3 == 0 else "", "b", "c"] for i in range(30_000)])
+    kept = []
+    monkeypatch.setattr(records, "written", lambda df, name, w=records.written: kept.append((df, w(df, name))) or kept[-1][1])
+    out = quoted_records(spark, str(tmp_path))
+    assert out.count() == 30_000
+    batches = 40_000 // int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) + spark.sparkContext.defaultParallelism
+    assert sum(table.count() for _, table in kept) <= 3 * batches
+    for df, _ in kept:
+        if "line" in df.columns or "record" in df.columns:
+            assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_records_carry_the_line_they_begin_in(spark, tmp_path, small_blocks):
     rows = [[str(i), "x\n" * (i % 4), "b", "c"] for i in range(90)]
     _write(tmp_path / "f.csv", rows)
