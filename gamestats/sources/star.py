@@ -68,29 +68,32 @@ def _result(status: Column) -> Column:
     return expr
 
 
-def _per_order_measures(lineitem: DataFrame, moves_mode: str) -> DataFrame:
+# What the fragments of an order are sorted by in its text.
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "_frag")
+
+
+def _per_order_measures(lineitem: DataFrame, moves_mode: str, with_text: bool = False) -> DataFrame:
     # The fragment is projected once; it is referenced by every measure, so
     # Catalyst keeps the projection instead of inlining the string build into
     # each aggregate input.
     frag = F.col("_frag")
-    return (lineitem
-            .select("l_orderkey", "l_suppkey", move_fragment().alias("_frag"))
-            .groupBy(F.col("l_orderkey"))
-            .agg(F.min("l_suppkey").alias("black_key"),
-                 F.sum(M.moves(frag, moves_mode)).alias("moves"),
-                 F.sum(M.captures(frag)).alias("captures"),
-                 F.sum(M.char_count(frag, M.CHECK_MARK)).alias("plus_marks"),
-                 F.max(M.has_double_plus(frag)).alias("double_plus"),
-                 F.max(M.castled(frag, "notation")).alias("castled"),
-                 F.max(M.castled(frag, "dash")).alias("castled_dash")))
-
-
-def _per_order_text(lineitem: DataFrame) -> DataFrame:
-    ordered = F.array_sort(F.collect_list(F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        move_fragment().alias("frag"))))
-    return (lineitem.groupBy("l_orderkey")
-            .agg(F.array_join(F.transform(ordered, lambda s: s["frag"]), " ").alias("an")))
+    aggs = [F.min("l_suppkey").alias("black_key"),
+            F.sum(M.moves(frag, moves_mode)).alias("moves"),
+            F.sum(M.captures(frag)).alias("captures"),
+            F.sum(M.char_count(frag, M.CHECK_MARK)).alias("plus_marks"),
+            F.max(M.has_double_plus(frag)).alias("double_plus"),
+            F.max(M.castled(frag, "notation")).alias("castled"),
+            F.max(M.castled(frag, "dash")).alias("castled_dash")]
+    lines = lineitem.withColumn("_frag", move_fragment())
+    if not with_text:
+        return lines.select("l_orderkey", "l_suppkey", "_frag").groupBy("l_orderkey").agg(*aggs)
+    # The lines are dealt by order as plain rows, once for all aggregates: lists
+    # begun in the map tasks save no rows, but each of those tasks would sort,
+    # and spill, every line that it reads.
+    ordered = F.array_sort(F.collect_list(F.struct(*LINE_ORDER)))
+    text = F.array_join(F.transform(ordered, lambda s: s["_frag"]), " ")
+    return (lines.select("l_orderkey", *LINE_ORDER).repartition("l_orderkey")
+            .groupBy("l_orderkey").agg(*aggs, text.alias("an")))
 
 
 def games_from_star(spark: SparkSession, sf_dir: str, moves_mode: str = "dots",
@@ -98,9 +101,7 @@ def games_from_star(spark: SparkSession, sf_dir: str, moves_mode: str = "dots",
     """Measured games (see ``gamestats.operators.measured``) from orders + lineitem."""
     orders = _table(spark, sf_dir, "orders")
     lineitem = _table(spark, sf_dir, "lineitem")
-    per_order = _per_order_measures(lineitem, moves_mode)
-    if with_text:
-        per_order = per_order.join(_per_order_text(lineitem), "l_orderkey")
+    per_order = _per_order_measures(lineitem, moves_mode, with_text)
 
     # Both sides are as large as the orders table, so the join is a sort-merge
     # join at every scale (never a broadcast of a side that grows with the

@@ -89,6 +89,28 @@ def test_numbered_moves_from_fragments_equal_text_count(spark):
     assert bad == 0
 
 
+def test_star_text_is_listed_after_one_shuffle_of_the_lines(spark, tmp_path):
+    """Own rows: repeated and null line numbers, null keys, an order without
+    lines.  The lines are read and shuffled once, and no list is begun before."""
+    lines = [(1, 7, 2, 2, 10.0, 5.0, "R", "F"), (1, 7, 9, 1, 50.0, 5.0, "A", "F"), (1, 7, 1, 2, 10.0, 5.0, "N", "O"),
+             (1, 7, 1, 2, 10.0, 5.0, "N", "O"), (1, None, 4, None, 1.0, 5.0, "A", "F"), (None, 1, 1, 1, 1.0, 1.0, "R", "F"),
+             (3, 5, None, 1, None, None, "A", None), (3, 5, None, 1, 45.0, None, None, None)]
+    lines += [(4, 1, 20 - i, i, 1.0, 1.0, "R", "F") for i in range(1, 13)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                 "l_extendedprice double, l_returnflag string, l_linestatus string").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(k, 5, "F", "1-URGENT") for k in (1, 2, 3, 4, None)], "o_orderkey long, o_custkey long, "
+                          "o_orderstatus string, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    games = games_from_star(spark, str(tmp_path), with_text=True).select(*GAMES_COLUMNS)
+    plan = games._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    below = plan[plan.index("Exchange hashpartitioning(l_orderkey"):]
+    assert "Aggregate" not in below
+    assert {r["id"]: (r["black"], r["an"]) for r in games.collect()} == {
+        1: ("s1", "1. Rxe8++ 2. O-O 2. O-O 2. Nxe5"), 2: (None, ""), 3: (None, "1. Qh5+ 1. e4"),
+        4: ("s8", " ".join(f"{i}. Nxe5" for i in range(1, 13))), None: (None, "")}
+
+
 def test_parquet_games_path(spark, tmp_path, games_csv):
     """Games kept as Parquet read, measure and stream like the CSV."""
     import pytest
